@@ -15,10 +15,15 @@ def is_bad() -> Column:
     return reduce(Column.__or__, [F.col(name).isNull() for name in REQUIRED_FIELDS])
 
 
+def with_missing(parsed: DataFrame) -> DataFrame:
+    """Adds ``missing``: the absent required fields, empty for a good row."""
+    names = [F.when(F.col(n).isNull(), n) for n in REQUIRED_FIELDS]
+    return parsed.withColumn("missing", F.concat_ws(",", *names))
+
+
 def split_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad). Two filters over one source; neither shuffles."""
-    missing = F.concat_ws(",", *[F.when(F.col(n).isNull(), n) for n in REQUIRED_FIELDS])
-    return parsed.filter(~is_bad()), parsed.filter(is_bad()).withColumn("missing", missing)
+    """(good, bad) for two sinks; neither side shuffles."""
+    return parsed.filter(~is_bad()), with_missing(parsed.filter(is_bad()))
 
 
 def latest_by_key(df: DataFrame, key: str, newest_first: list[Column]) -> DataFrame:

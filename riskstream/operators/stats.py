@@ -112,10 +112,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     bounds = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
     lo = bounds.getField("lo")
     width = (bounds.getField("hi") - lo) / bins
-    index = F.least(F.floor((F.col("x") - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
-    counted = values.groupBy(F.coalesce(index, F.lit(0)).cast("int").alias("bin")).agg(
-        F.count("*").alias("n")
-    )
+    index = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(0)
+    counted = values.groupBy(index.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     return counted.select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),
@@ -130,7 +128,8 @@ def with_running_totals(df: DataFrame, order: str, columns: list[str], span: int
     Rows are cut into spans of the order column. Windows run inside a span; the totals of the
     earlier spans, one row per span, are added on top.
     """
-    cut = df.withColumn("_span", F.floor(F.col(order) / span))
+    # A missing order value sorts first, so its rows form the lowest span.
+    cut = df.withColumn("_span", F.coalesce(F.floor(F.col(order) / span), F.lit(-(2**62))))
     spans = cut.groupBy("_span").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.select(

@@ -365,10 +365,10 @@ def alert_retention(spark, folder):
 @query("dedup_transactions")
 def dedup_transactions(spark, folder):
     """A replay that wraps around: everything is sent again, corrected above 100."""
-    first = transactions(spark, folder).select("transaction_id", "transaction_time", "amount")
-    corrected = F.when(F.col("amount") > 100, F.col("amount") * 1.5).otherwise(F.col("amount"))
-    sent = first.withColumn("batch_id", F.lit(0)).unionByName(
-        first.withColumn("amount", corrected).withColumn("batch_id", F.lit(1))
+    once = transactions(spark, folder).select("transaction_id", "transaction_time", "amount")
+    corrected = (F.col("batch_id") == 1) & (F.col("amount") > 100)
+    sent = once.withColumn("batch_id", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "amount", F.when(corrected, F.col("amount") * 1.5).otherwise(F.col("amount"))
     )
     return ql.latest_by_key(sent, "transaction_id", [F.desc("batch_id")])
 
@@ -379,10 +379,10 @@ def quarantine_bad(spark, folder):
     good = cl.to_messages(cl.shape_record(replay_file_rows(transactions(spark, folder)))).select("value")
     foreign = table(spark, folder, "events").select(F.col("props").alias("value"))
     mixed = good.unionByName(foreign).withColumn("timestamp", F.current_timestamp())
-    fine, bad = ql.split_bad(ms.parse_messages(mixed, keep_raw=True))
-    return fine.select("transaction_id", F.lit(None).cast("string").alias("raw_value"),
-                       F.lit("").alias("missing")) \
-        .unionByName(bad.select("transaction_id", "raw_value", "missing"))
+    tagged = ql.with_missing(ms.parse_messages(mixed, keep_raw=True))
+    return tagged.select(
+        "transaction_id", F.when(F.col("missing") != "", F.col("raw_value")).alias("raw_value"), "missing"
+    )
 
 
 # -------------------------------------------------------------- model quality

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskstream.functions.scalars import iso_timestamp
 from riskstream.schema import TRAINING_CSV_SCHEMA, TRANSACTION_SCHEMA
+from riskstream.session import spread_small
 
 # The category rota and genders of the derived table. `misc_pos`, `kids_pets`
 # and `home` are outside the one-hot vocabulary on purpose, the last entry tests case.
@@ -31,7 +32,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     supplier = table(spark, folder, "supplier")
     n_suppliers = supplier.agg(F.count("*")).scalar()
     key, draw = F.col("c_custkey"), F.get_json_object("props", "$.k").cast("int")
-    events = table(spark, folder, "events").select(
+    events = spread_small(table(spark, folder, "events")).select(
         "event_id", "user_id", F.col("ts").cast("timestamp").alias("time"),
         (F.col("value") * 2).alias("amount"), draw.alias("draw"),
         (F.col("event_id") % n_suppliers).alias("supplier_no"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from riskstream.config import Settings
 
@@ -44,3 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/riskstream/{label}-{uuid.uuid4().hex}"
+
+
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Give every core a piece of a scan that has fewer pieces than there are cores.
+
+    For a plain scan only: its piece count is known without running anything. A table of many
+    files passes unchanged, so at scale no shuffle is added.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -17,10 +17,15 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> Non
     read_training_csv(spark, csv_path).write.mode("overwrite").parquet(parquet_path)
 
 
-def write_archive(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Day-partitioned Parquet. Input arrives in time order, so a task meets few days and no
-    shuffle is needed to keep the file count down."""
-    df.write.mode(mode).partitionBy("date").parquet(path)
+def write_archive(df: DataFrame, path: str, mode: str = "append", time_ordered: bool = False) -> None:
+    """Day-partitioned Parquet.
+
+    Rows are first gathered by day, with days of very different size split or merged into
+    files of like size (an adaptive rebalance). Input already in time order needs no shuffle:
+    there a task meets few days anyway.
+    """
+    gathered = df if time_ordered else df.hint("rebalance", "date")
+    gathered.write.mode(mode).partitionBy("date").parquet(path)
 
 
 def publish_to_files(messages: DataFrame, path: str) -> None:

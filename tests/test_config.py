@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import pytest
+
+from riskstream import session
+from riskstream.config import Settings
+
+
+def test_environment_overrides_defaults():
+    made = Settings.from_env({"KAFKA_BOOTSTRAP_SERVERS": "k:1", "MAX_OFFSETS_PER_TRIGGER": "5", "LAKE_ROOT": "/l"})
+    assert (made.kafka_servers, made.max_offsets_per_trigger, made.archive_path) == ("k:1", 5, "/l/archive/transactions")
+    assert Settings.from_env({}) == Settings()
+
+
+def test_kafka_options():
+    source, sink = Settings().kafka_source_options(), Settings().kafka_sink_options()
+    assert source["maxOffsetsPerTrigger"] == "1000" and source["startingOffsets"] == "earliest"
+    assert source["failOnDataLoss"] == "false"
+    assert (sink["kafka.acks"], sink["kafka.retries"], sink["kafka.compression.type"]) == ("all", "3", "snappy")
+
+
+def test_secrets_come_from_the_environment_only():
+    assert "spark.hadoop.fs.s3a.secret.key" not in Settings().spark_options()
+    made = Settings.from_env({"S3_ACCESS_KEY": "k", "S3_SECRET_KEY": "hidden"})
+    assert made.spark_options()["spark.hadoop.fs.s3a.secret.key"] == "hidden" and "hidden" not in repr(made)
+
+
+def test_settings_cannot_be_changed():
+    with pytest.raises(AttributeError):
+        Settings().lake_root = "x"
+
+
+class _Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, named, master):
+        self.conf = type("C", (), {"get": lambda _, k, d=None: named if k == "spark.checkpoint.dir" else d})()
+        self.sparkContext = type("S", (), {"master": master})()
+
+
+def test_shared_folder_is_the_one_named():
+    assert session.shared_folder(_Session("/shared/x/", "spark://m:7077")) == "/shared/x"
+
+
+def test_cluster_without_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(_Session(None, "spark://m:7077"))
+
+
+def test_small_scans_are_spread_and_large_ones_left_alone(spark):
+    assert session.spread_small(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
+    many = spark.range(100, numPartitions=16)
+    assert session.spread_small(many) is many
