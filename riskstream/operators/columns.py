@@ -68,5 +68,10 @@ def to_messages(records: DataFrame, key: str = "transaction_id") -> DataFrame:
 
 
 def replay_order(df: DataFrame, key: str = "transaction_id", seed: int = 42) -> DataFrame:
-    """The whole table in a seeded pseudo-random order (a range-partitioned sort on a hash)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
+    """The whole table in a seeded pseudo-random order (a range-partitioned sort on a hash).
+
+    The row number within the input breaks ties, so the copies of a much re-sent key can be
+    cut into several ranges.
+    """
+    order = [F.xxhash64(F.lit(seed), F.col(key)), F.col(key), F.monotonically_increasing_id()]
+    return df.orderBy(*order)

@@ -131,9 +131,13 @@ def amount_bucket() -> Features:
     return {"amount_category": label}
 
 
-def with_extended_features(df: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Core features plus night, cyclic, interaction and bucket features."""
-    core = with_features(df, as_of)
+def extend_features(core: DataFrame) -> DataFrame:
+    """Adds night, cyclic, interaction and bucket features to a frame with the core ones."""
     return core.withColumns(
         night_feature() | cyclic_features() | interaction_features() | amount_bucket()
     )
+
+
+def with_extended_features(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Everything any model recipe reads, but for the category risk."""
+    return extend_features(with_features(df, as_of))

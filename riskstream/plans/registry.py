@@ -461,6 +461,15 @@ _training_query("train_rf_small", tr.RANDOM_FOREST_SMALL)
 _training_query("train_gbt", tr.BOOSTED_TREES)
 
 
+@query("train_rf_lean")
+def train_rf_lean(spark, folder):
+    """The lean forest; the category risk comes from the training rows only."""
+    train, test = sm.train_test(_model_rows(spark, folder))
+    risk, recipe = lk.category_risk(train), tr.RANDOM_FOREST_LEAN
+    model = tr.fit(recipe, lk.with_category_risk(train, risk))
+    return _rounded(tr.evaluate(model, recipe, lk.with_category_risk(test, risk)), "auc")
+
+
 @query("score_batch")
 def score_batch(spark, folder):
     model = _trained(spark, folder, tr.RANDOM_FOREST_SMALL)

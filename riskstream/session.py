@@ -54,3 +54,19 @@ def spread_small(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    file_system, location = _located(spark, path)
+    return file_system.exists(location)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this package wrote, on whatever file system it lies."""
+    file_system, location = _located(spark, path)
+    return bool(file_system.delete(location, True))
+
+
+def _located(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location

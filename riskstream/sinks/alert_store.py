@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from riskstream.operators.quality import latest_by_key
 from riskstream.schema import ALERT_COLUMNS, ALERT_RETENTION_DAYS, TRANSACTION_SCHEMA
+from riskstream.session import folder_exists, remove_folder
 
 _TYPES = {f.name: f.dataType for f in TRANSACTION_SCHEMA} | {
     "is_fraud": T.DoubleType(),
@@ -57,7 +59,7 @@ class AlertStore:
 
     def versions(self) -> DataFrame:
         """Every stored row, replaced ones included."""
-        if not self._exists():
+        if not folder_exists(self.spark, self.root):
             empty = self.spark.createDataFrame([], STORE_SCHEMA)
             return empty.withColumn("part", F.lit(None).cast("string"))
         return self.spark.read.schema(STORE_SCHEMA).parquet(self.root)
@@ -79,7 +81,7 @@ class AlertStore:
             self.versions().groupBy("part").agg(F.max("detected_at").alias("newest"))
             .filter(F.col("newest") < F.lit(cutoff)).select("part")
         )
-        return self._delete(expired)
+        return self._delete_folders(f"{self.root}/part={r.part}" for r in expired.toLocalIterator())
 
     def compact(self, day: dt.date) -> None:
         """Merge the folders written on one finished day into one.
@@ -101,25 +103,8 @@ class AlertStore:
         merged.write.mode("errorifexists").parquet(f"{self.root}/part=day-{day:%Y%m%d}-{uuid.uuid4().hex}")
         self._delete_folders(folders)
 
-    # -- folder handling through the file system the path belongs to --
-
-    def _path(self, location: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(location)
-
-    def _file_system(self):
-        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self) -> bool:
-        return self._file_system().exists(self._path(self.root))
-
-    def _delete(self, parts: DataFrame) -> int:
-        return self._delete_folders(f"{self.root}/part={r.part}" for r in parts.toLocalIterator())
-
-    def _delete_folders(self, folders) -> int:
-        fs, gone = self._file_system(), 0
-        for folder in folders:
-            gone += bool(fs.delete(self._path(folder), True))
-        return gone
+    def _delete_folders(self, folders: Iterable[str]) -> int:
+        return sum(remove_folder(self.spark, folder) for folder in folders)
 
 
 def _current(versions: DataFrame) -> DataFrame:

@@ -119,3 +119,17 @@ def test_profile_of_nothing(spark):
     none = spark.createDataFrame([], "is_fraud int")
     assert tuple(st.dataset_profile(none).first()) == (0, 0, None, 0)
     assert st.count_by(none.withColumn("k", F.lit(1)), "k").collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 5, 37, 90, 500])
+def test_large_limits_take_the_same_rows(spark, monkeypatch, n):
+    import random
+
+    rnd = random.Random(n)
+    rows = [(f"t{i:03d}", rnd.randint(1, 9), "c", "s") for i in range(90)]
+    alerts = make_alerts(spark, rows).withColumn(
+        "detected_at", F.col("detected_at") - F.expr("make_interval(0,0,0,0,0, pmod(hash(transaction_id), 20), 0)")
+    ).withColumn("detected_at", F.expr("if(transaction_id = 't007', null, detected_at)"))
+    direct = alerts.orderBy(*al.newest_first()).limit(n)
+    monkeypatch.setattr(al, "DIRECT_TOP_N", 0)
+    assert ids(al.newest(alerts, n)) == ids(direct)

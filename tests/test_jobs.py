@@ -1,0 +1,72 @@
+"""The command-line jobs, end to end on a small table."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from riskstream import jobs
+from riskstream.config import Settings
+from riskstream.plans.transactions import replay_file_rows, transactions
+from riskstream.sinks.alert_store import AlertStore
+from riskstream.sinks.files import write_csv
+
+
+@pytest.fixture
+def lake(monkeypatch, tmp_path):
+    monkeypatch.setenv("LAKE_ROOT", str(tmp_path / "lake"))
+    monkeypatch.setenv("ARCHIVE_TRIGGER", "availableNow")
+    monkeypatch.setenv("ALERT_TRIGGER", "availableNow")
+    return tmp_path
+
+
+def _text(capsys) -> str:
+    return capsys.readouterr().out
+
+
+def test_whole_flow(spark, lake, capsys):
+    source, sent, model = (str(lake / n) for n in ("csv", "sent", "model"))
+    txns = transactions(spark, "/root/testdata/sf0.01")
+    write_csv(replay_file_rows(txns), source)
+
+    jobs.main(["publish", "--input", source, "--csv", "--folder", sent])
+    assert "|10000|286" in _text(capsys).replace(" ", "")
+    jobs.main(["train", "--input", source, "--csv", "--recipe", "decision_tree", "--model", model,
+               "--as-of", "2024-06-30"])
+    assert "decision_tree" in _text(capsys)
+    jobs.main(["stream", "--folder", sent, "--recipe", "decision_tree", "--model", model,
+               "--as-of", "2024-06-30", "--threshold", "0.3", "--until-empty"])
+
+    settings = Settings.from_env()
+    assert spark.read.parquet(settings.archive_path).count() == 10000
+    current = AlertStore(spark, settings.alerts_path).read()
+    assert 50 < current.count() < 1000
+    assert current.filter("fraud_probability < 0.3 or fraud_probability is null").isEmpty()
+
+    jobs.main(["stats"])
+    shown = next(line for line in _text(capsys).splitlines() if "total_alerts" in line)
+    assert json.loads(shown.strip("|"))["total_alerts"] == current.count()
+    jobs.main(["alerts", "--limit", "5", "--category", "travel"])
+    assert "First Name" in _text(capsys)
+
+
+def test_stream_without_a_model_archives_only(spark, lake):
+    sent = lake / "sent"
+    sent.mkdir()
+    (sent / "a.txt").write_text('{"transaction_id":"a","transaction_time":"2024-01-01T00:00:00","amount":1.0}\n')
+    jobs.main(["stream", "--folder", str(sent), "--model", str(lake / "none"), "--until-empty"])
+    settings = Settings.from_env()
+    assert spark.read.parquet(settings.archive_path).count() == 1
+    assert AlertStore(spark, settings.alerts_path).read().isEmpty()
+
+
+def test_convert(spark, lake):
+    write_csv(replay_file_rows(transactions(spark, "/root/testdata/sf0.001")), str(lake / "csv"))
+    jobs.main(["convert", "--input", str(lake / "csv"), "--csv", "--output", str(lake / "pq")])
+    assert spark.read.parquet(str(lake / "pq")).count() == 1000
+
+
+def test_bad_job_is_refused():
+    with pytest.raises(SystemExit):
+        jobs.main(["nothing"])
