@@ -70,3 +70,32 @@ def test_statistics_read_the_alerts_once(spark, tmp_path):
                             F.col("id").cast("double").alias("amount")).write.parquet(str(tmp_path / "a"))
     text = plan(st.alert_stats_maps(spark.read.parquet(str(tmp_path / "a"))))
     assert text.count("FileScan") == 1
+
+
+def test_hot_customer_is_split_when_dimensions_are_large(spark, tmp_path):
+    """No broadcasts allowed, a third of all events from one customer: the joins split it."""
+    from riskstream.plans.transactions import table
+
+    source = "/root/testdata/sf0.01"
+    hot = F.expr("if(event_id % 3 = 0, 7L, event_id % 140)")
+    table(spark, source, "events").withColumn("user_id", hot).repartition(8).write.parquet(
+        str(tmp_path / "events.parquet"))
+    for name in ("customer", "nation", "supplier"):
+        table(spark, source, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    adaptive = "spark.sql.adaptive."
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", adaptive + "autoBroadcastJoinThreshold": "-1",
+        adaptive + "skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        adaptive + "skewJoin.skewedPartitionFactor": "2", adaptive + "advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for key, value in options.items():
+            spark.conf.set(key, value)
+        joined = transactions(spark, str(tmp_path)).select("transaction_id", "last", "state", "merchant")
+        assert len({r.transaction_id for r in joined.collect()}) == 10_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
