@@ -55,7 +55,14 @@ class AlertStore:
             .cast(f.dataType).alias(f.name)
             for f in STORE_SCHEMA
         ])
-        row.write.mode("overwrite").parquet(f"{self.root}/part=r{self.run_id}-b{batch_id}")
+        row.write.mode("overwrite").parquet(self._batch_folder(batch_id))
+
+    def drop_batch(self, batch_id: int) -> None:
+        """Remove this run's batch, for one that turned out to hold no alert."""
+        remove_folder(self.spark, self._batch_folder(batch_id))
+
+    def _batch_folder(self, batch_id: int) -> str:
+        return f"{self.root}/part=r{self.run_id}-b{batch_id}"
 
     def versions(self) -> DataFrame:
         """Every stored row, replaced ones included."""

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +16,8 @@ from riskstream.config import Settings
 from riskstream.operators.alerts import alert_projection
 from riskstream.operators.features import with_features
 from riskstream.operators.quality import is_bad, split_bad
+from riskstream.operators.stats import batch_metrics
+from riskstream.schema import ALERT_COPIED_COLUMNS
 from riskstream.sinks.alert_store import AlertStore
 from riskstream.sources.messages import parse_messages
 
@@ -22,6 +25,8 @@ log = logging.getLogger(__name__)
 
 Scorer = Callable[[DataFrame], DataFrame]
 AVAILABLE_NOW = "availableNow"
+ALERTS_PER_FILE = 1_000_000
+PROGRESS_SCHEMA = "batch_id long, n long, fraud long, alerts long, caught long"
 
 
 def enriched(messages: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -60,11 +65,13 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str,
 
 @dataclass
 class AlertBatch:
-    """What happens to one micro-batch: score, keep the positives, record the counts.
+    """What happens to one micro-batch: score, count, keep the positives.
 
-    The batch is read once: the counts are observed while the alerts are written. A failure
-    stops the query, which retries the batch after a restart; with ``dead_letter_path`` set,
-    the batch is stored there instead and the stream goes on.
+    The scored batch, cut down to the columns still needed, is kept while it is counted and
+    its alerts are written, so the source is read and scored once. The alerts, few among many,
+    go into as few files as their number asks for; a batch without any leaves no folder. A
+    failure stops the query, which retries the batch after a restart; with ``dead_letter_path``
+    set, the batch is stored there instead and the stream goes on.
     """
 
     score: Scorer
@@ -74,8 +81,6 @@ class AlertBatch:
     detected_at: Column | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         try:
             self._process(batch, batch_id)
         except Exception:
@@ -85,25 +90,27 @@ class AlertBatch:
             batch.write.mode("overwrite").parquet(f"{self.dead_letter_path}/batch_id={batch_id}")
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        seen = Observation(f"batch-{batch_id}")
-        positive, alert = F.col("is_fraud") == 1, F.col("prediction") == 1
-        scored = self.score(batch.filter(~is_bad())).observe(
-            seen,
-            F.count(F.lit(1)).alias("n"),
-            F.count(F.when(positive, 1)).alias("fraud"),
-            F.count(F.when(alert, 1)).alias("alerts"),
-            F.count(F.when(positive & alert, 1)).alias("caught"),
-        )
+        scored = self.score(batch.filter(~is_bad()))
         extra = tuple(c for c in ("fraud_probability", "kafka_timestamp") if c in scored.columns)
-        self.store.write_batch(alert_projection(scored, self.detected_at, extra), batch_id)
-        counts = seen.get
-        log.info("batch %s: %s", batch_id, counts)
+        kept = scored.select(*ALERT_COPIED_COLUMNS, "is_fraud", "prediction", *extra).persist()
+        try:
+            counts = batch_metrics(kept.withColumn("batch_id", F.lit(batch_id).cast("long"))).first()
+            if counts is None:
+                return
+            log.info("batch %s: %s", batch_id, counts)
+            if counts.alerts:
+                alerts = alert_projection(kept, self.detected_at, extra)
+                self.store.write_batch(alerts.coalesce(math.ceil(counts.alerts / ALERTS_PER_FILE)), batch_id)
+            else:
+                self.store.drop_batch(batch_id)
+            self._record(batch.sparkSession, counts, batch_id)
+        finally:
+            kept.unpersist()
+
+    def _record(self, spark: SparkSession, counts: Row, batch_id: int) -> None:
         if self.progress_path:
-            row = [(batch_id, *[int(counts[c]) for c in ("n", "fraud", "alerts", "caught")])]
-            spark = batch.sparkSession
-            spark.createDataFrame(row, "batch_id long, n long, fraud long, alerts long, caught long") \
-                .coalesce(1).write.mode("overwrite") \
-                .parquet(f"{self.progress_path}/part={self.store.run_id}-{batch_id}")
+            row = spark.createDataFrame([tuple(counts)], PROGRESS_SCHEMA).coalesce(1)
+            row.write.mode("overwrite").parquet(f"{self.progress_path}/part=r{self.store.run_id}-b{batch_id}")
 
 
 def start_alerts(transactions: DataFrame, on_batch: AlertBatch, checkpoint: str,

@@ -120,6 +120,22 @@ def test_a_failing_batch_stops_the_query_and_is_retried(spark, folder, tmp_path)
     assert not store.read().isEmpty()
 
 
+def test_a_batch_without_alerts_leaves_no_folder(spark, small, folder, tmp_path):
+    store = AlertStore(spark, str(tmp_path / "alerts"))
+    never = lambda batch: batch.withColumn("prediction", (F.col("amount") > 1e9).cast("double"))
+    nothing = runner.AlertBatch(never, store, progress_path=str(tmp_path / "progress"))
+    runner.finish([_alert_query(spark, folder, tmp_path, nothing)])
+    assert not (tmp_path / "alerts").exists() and store.read().isEmpty()
+    assert spark.read.parquet(str(tmp_path / "progress")).first().n == transactions(spark, small).count() + 1
+
+
+def test_alerts_are_gathered_into_few_files(spark, folder, tmp_path):
+    store = AlertStore(spark, str(tmp_path / "alerts"))
+    runner.finish([_alert_query(spark, folder, tmp_path, runner.AlertBatch(with_rule_prediction, store))])
+    (batch,) = (tmp_path / "alerts").iterdir()
+    assert len(list(batch.glob("*.parquet"))) == 1
+
+
 def test_dead_letters_keep_the_failing_batch(spark, small, folder, tmp_path):
     store = AlertStore(spark, str(tmp_path / "alerts"))
     dead = str(tmp_path / "dead")
