@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.functions import scalars
@@ -37,10 +37,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = dt.date(2024, 6, 30)
-FIRST_BATCH_CLOCK = dt.datetime(2024, 1, 5)
-SECOND_BATCH_CLOCK = dt.datetime(2024, 2, 5)
-REPLAY_CLOCK = dt.datetime(2024, 2, 7)
-RETENTION_AS_OF = dt.datetime(2024, 2, 10)
+FIRST_BATCH_CLOCK = "2024-01-05 00:00:00"
+SECOND_BATCH_CLOCK = "2024-02-05 00:00:00"
+REPLAY_CLOCK = "2024-02-07 00:00:00"
+STREAM_READ_AT = "2024-01-30 00:00:00"
+RETENTION_AS_OF = "2024-02-10 00:00:00"
 SWEEP = [i / 10 for i in range(1, 10)]
 
 
@@ -60,10 +61,15 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
-def _as_of():
+def _as_of() -> Column:
     return F.lit(AS_OF)
 
 
+def _at(clock: str) -> Column:
+    """A fixed moment in the session's time zone, whatever the machine's own is."""
+    return F.lit(clock).cast("timestamp")
+
+
 def _alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Alert rows of the high-value rule, detected three seconds after the transaction."""
     detected = F.col("transaction_time") + F.expr("interval 3 seconds")
@@ -333,7 +339,7 @@ def alert_stream(spark, folder):
     runner.finish([runner.start_alerts(
         runner.enriched(incoming, _as_of()), on_batch, fresh_folder(spark, "checkpoint"), runner.AVAILABLE_NOW
     )])
-    return store.read(F.lit(dt.datetime(2024, 1, 30))).select(*ALERT_COLUMNS)
+    return store.read(_at(STREAM_READ_AT)).select(*ALERT_COLUMNS)
 
 
 def _two_batches(spark: SparkSession, folder: str) -> AlertStore:
@@ -341,8 +347,8 @@ def _two_batches(spark: SparkSession, folder: str) -> AlertStore:
     store = AlertStore(spark, fresh_folder(spark, "alerts"), run_id=1)
     scored = with_rule_prediction(transactions(spark, folder))
     again = scored.filter("amount > 250").withColumn("amount", F.col("amount") * 2)
-    store.write_batch(al.alert_projection(scored, F.lit(FIRST_BATCH_CLOCK)), 0)
-    store.write_batch(al.alert_projection(again, F.lit(SECOND_BATCH_CLOCK)), 1)
+    store.write_batch(al.alert_projection(scored, _at(FIRST_BATCH_CLOCK)), 0)
+    store.write_batch(al.alert_projection(again, _at(SECOND_BATCH_CLOCK)), 1)
     return store
 
 
@@ -351,15 +357,15 @@ def alert_upsert(spark, folder):
     """Both batches, then batch 0 replayed under a later clock: batch 1 still wins."""
     store = _two_batches(spark, folder)
     scored = with_rule_prediction(transactions(spark, folder))
-    store.write_batch(al.alert_projection(scored, F.lit(REPLAY_CLOCK)), 0)
-    return store.read(F.lit(RETENTION_AS_OF)).select(*ALERT_COLUMNS)
+    store.write_batch(al.alert_projection(scored, _at(REPLAY_CLOCK)), 0)
+    return store.read(_at(RETENTION_AS_OF)).select(*ALERT_COLUMNS)
 
 
 @query("alert_retention")
 def alert_retention(spark, folder):
     """Batch 0 has expired at the reading time unless batch 1 renewed the alert."""
     store = _two_batches(spark, folder)
-    return store.read(F.lit(RETENTION_AS_OF)).select(*ALERT_COLUMNS)
+    return store.read(_at(RETENTION_AS_OF)).select(*ALERT_COLUMNS)
 
 
 @query("dedup_transactions")
