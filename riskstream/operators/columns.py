@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.scalars import iso_timestamp, zip_pad
-from riskstream.schema import CSV_INDEX_COLUMN, TRANSACTION_SCHEMA
+from riskstream.schema import (
+    CSV_INDEX_COLUMN, TRANSACTION_SCHEMA, UNNAMED_CSV_INDEX_COLUMN,
+)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -25,8 +27,8 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def drop_index_column(df: DataFrame) -> DataFrame:
-    """Remove the unnamed row-number column that data-frame exports leave behind."""
-    return df.drop(CSV_INDEX_COLUMN, "_c0")
+    """Remove the row-number column that data-frame exports leave behind, under either name."""
+    return df.drop(CSV_INDEX_COLUMN, UNNAMED_CSV_INDEX_COLUMN)
 
 
 def with_label(df: DataFrame, source: str = "is_fraud", target: str = "label") -> DataFrame:

@@ -79,6 +79,7 @@ TRAINING_CSV_SCHEMA = _schema(
     """
 )
 CSV_INDEX_COLUMN = "Unnamed: 0"
+UNNAMED_CSV_INDEX_COLUMN = "_c0"  # what Spark calls a first column with an empty header
 
 # Alert row: everything up to `zip` is copied from the transaction.
 ALERT_COPIED_COLUMNS = (

@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.schema import TRAINING_CSV_SCHEMA
+from riskstream.schema import TRAINING_CSV_SCHEMA, UNNAMED_CSV_INDEX_COLUMN
 
 
 def read_training_csv(spark: SparkSession, path: str,
                       schema: T.StructType = TRAINING_CSV_SCHEMA) -> DataFrame:
     """Header CSV under a pinned schema, so no inference pass and no numeric card numbers.
 
-    Columns are taken by header name: a leading index column or another column order is read
-    correctly. The header is the only line looked at before the job runs.
+    Columns are taken by header name: an index column, named or not, and another column order
+    are read correctly. The header is the only line looked at before the job runs. Further files
+    in the folder whose header differs fail instead of being misread, unless the index column
+    has no name; then Spark cannot compare headers and columns go by position.
     """
     header = spark.read.option("header", True).csv(path).columns
     by_name = {f.name: f for f in schema}
@@ -24,9 +26,10 @@ def read_training_csv(spark: SparkSession, path: str,
     missing = [f.name for f in schema if f.name not in header]
     if missing:
         raise ValueError(f"{path} lacks columns {missing}")
-    # Files whose own header differs from the first one fail instead of being misread. Naming a
-    # null marker keeps a quoted empty text apart from an absent value.
-    reader = spark.read.options(header=True, enforceSchema=False, nullValue=r"\N")
+    # Naming a null marker keeps a quoted empty text apart from an absent value.
+    reader = spark.read.options(
+        header=True, nullValue=r"\N", enforceSchema=UNNAMED_CSV_INDEX_COLUMN in header
+    )
     return reader.schema(full).csv(path)
 
 

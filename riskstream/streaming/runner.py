@@ -137,6 +137,8 @@ def load_model(path: str) -> PipelineModel | None:
 def start_all(spark: SparkSession, messages: DataFrame, settings: Settings,
               score: Scorer | None, as_of: Column | None = None) -> list[StreamingQuery]:
     """Start archive, quarantine and, when there is a scorer, alerts."""
+    # Queries that ended earlier in this session must not end the wait for these.
+    spark.streams.resetTerminated()
     transactions = enriched(messages, as_of)
     running = [
         start_archive(transactions, settings.archive_path, settings.checkpoint("archive"),

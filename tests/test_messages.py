@@ -99,6 +99,25 @@ def test_csv_text_columns_keep_zeros_and_size(spark, tmp_path):
     assert (row.zip, row.cc_num, row.amt, row.state, row.city) == ("00042", "123456789012345678901", 1.5, "", None)
 
 
+def test_csv_with_an_unnamed_index_column(spark, tmp_path):
+    names = TRAINING_CSV_SCHEMA.names
+    row = ["0", *["2019-01-01 00:00:18" if n == "trans_date_trans_time" else "1" for n in names]]
+    (tmp_path / "in.csv").write_text("," + ",".join(names) + "\n" + ",".join(row) + "\n")
+    clean = cl.drop_index_column(read_training_csv(spark, str(tmp_path / "in.csv")))
+    assert clean.columns == names
+    got = cl.normalize_columns(clean).first()
+    assert got.transaction_id == "1" and got.amount == 1.0
+    assert got.transaction_time == dt.datetime(2019, 1, 1, 0, 0, 18)
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    names = TRAINING_CSV_SCHEMA.names
+    for file, order in (("a.csv", names), ("b.csv", names[::-1])):
+        (tmp_path / file).write_text(",".join(order) + "\n" + ",".join("1" for _ in order) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_training_csv(spark, str(tmp_path)).collect()
+
+
 def test_csv_without_a_needed_column_is_refused(spark, tmp_path):
     (tmp_path / "in.csv").write_text("trans_num,amt\na,1\n")
     with pytest.raises(ValueError, match="cc_num"):

@@ -136,6 +136,17 @@ def test_alerts_are_gathered_into_few_files(spark, folder, tmp_path):
     assert len(list(batch.glob("*.parquet"))) == 1
 
 
+def test_one_failing_query_ends_the_wait_and_stops_the_others(spark, folder, tmp_path):
+    spark.streams.resetTerminated()
+    transactions_ = runner.enriched(ms.file_stream(spark, str(folder)), F.lit(DATE))
+    store = AlertStore(spark, str(tmp_path / "alerts"))
+    archive = runner.start_archive(transactions_, str(tmp_path / "a"), str(tmp_path / "c1"), "1 second")
+    alerts = runner.start_alerts(transactions_, runner.AlertBatch(_broken, store), str(tmp_path / "c2"), "1 second")
+    with pytest.raises(Exception, match="scoring failed"):
+        runner.run_until_stopped(spark, [archive, alerts])
+    assert not archive.isActive and not alerts.isActive
+
+
 def test_dead_letters_keep_the_failing_batch(spark, small, folder, tmp_path):
     store = AlertStore(spark, str(tmp_path / "alerts"))
     dead = str(tmp_path / "dead")

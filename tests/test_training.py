@@ -111,3 +111,11 @@ def test_comparison_is_ordered_by_area(rows, fitted):
     table = tr.compare([tr.evaluate(m, r, test) for r, m in fitted.values()]).collect()
     areas = [r.auc for r in table]
     assert len(table) == len(FEW) and areas == sorted(areas, reverse=True)
+
+
+def test_error_mode_refuses_incomplete_rows(rows):
+    recipe = replace(tr.DECISION_TREE, estimator=FEW["decision_tree"], incomplete="error")
+    model = tr.fit(recipe, rows.filter("dob is not null"))
+    assert tr.score(model, recipe, rows.filter("dob is not null")).count() > 0
+    with pytest.raises(Exception, match="null"):
+        tr.score(model, recipe, rows.filter("dob is null")).collect()
