@@ -65,11 +65,12 @@ class AlertStore:
         return f"{self.root}/part=r{self.run_id}-b{batch_id}"
 
     def versions(self) -> DataFrame:
-        """Every stored row, replaced ones included."""
-        if not folder_exists(self.spark, self.root):
-            empty = self.spark.createDataFrame([], STORE_SCHEMA)
-            return empty.withColumn("part", F.lit(None).cast("string"))
-        return self.spark.read.schema(STORE_SCHEMA).parquet(self.root)
+        """Every stored row, replaced ones included, with the folder it lies in as ``part``."""
+        if folder_exists(self.spark, self.root):
+            stored = self.spark.read.schema(STORE_SCHEMA).parquet(self.root)
+            if "part" in stored.columns:
+                return stored
+        return self.spark.createDataFrame([], STORE_SCHEMA).withColumn("part", F.lit(None).cast("string"))
 
     def read(self, as_of: Column | None = None, retention_days: int = ALERT_RETENTION_DAYS) -> DataFrame:
         """Current alerts: one per transaction, not older than the retention period.

@@ -113,3 +113,11 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
     assert current.count() == 2
     plan = current._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_fully_purged_store_stays_usable(spark, tmp_path):
+    store = AlertStore(spark, str(tmp_path / "s"), run_id=1)
+    write(store, [("a", 1)], 0, DAY - dt.timedelta(days=40))
+    assert store.purge(DAY) == 1 and store.purge(DAY) == 0 and content(store) == {}
+    write(store, [("a", 2)], 1)
+    assert content(store) == {"a": 2}
