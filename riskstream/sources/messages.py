@@ -42,12 +42,13 @@ def parse_messages(messages: DataFrame, schema: T.StructType | str = TRANSACTION
 
     Unreadable messages become all-null rows and wrongly typed fields become null; nothing is
     dropped here. ``keep_raw`` carries the message text along so bad ones can be stored.
+
+    The struct is inlined rather than selected from: a later filter on its fields would
+    otherwise be moved below the parse and parse each message again per field it tests. To
+    read few fields, pass a schema with only those.
     """
     text = F.col("value").cast("string")
-    carried = {"kafka_timestamp": F.col("timestamp")}
+    carried = [F.col("timestamp").alias("kafka_timestamp")]
     if keep_raw:
-        carried["raw_value"] = text
-    parsed = messages.select(
-        F.from_json(text, schema).alias("parsed"), *[c.alias(n) for n, c in carried.items()]
-    )
-    return parsed.select("parsed.*", *carried)
+        carried.append(text.alias("raw_value"))
+    return messages.select(F.inline(F.array(F.from_json(text, schema))), *carried)

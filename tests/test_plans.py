@@ -99,3 +99,31 @@ def test_hot_customer_is_split_when_dimensions_are_large(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_filtering_parsed_messages_parses_once(spark):
+    from riskstream.operators.quality import is_bad
+    from riskstream.sources.messages import parse_messages
+
+    raw = spark.range(3).select(F.col("id").cast("string").alias("value"), F.current_timestamp().alias("timestamp"))
+    assert plan(parse_messages(raw).filter(~is_bad())).count("from_json(") == 1
+
+
+def test_archive_splits_a_hot_day(spark, tmp_path):
+    from pathlib import Path
+
+    rows = spark.range(60_000).select(
+        F.expr("uuid()").alias("text"),
+        F.expr("if(id % 10 > 0, date'2024-01-01', date_add(date'2024-01-02', cast(id % 7 as int)))").alias("date"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "200KB")
+        write_archive(rows, str(tmp_path / "a"))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in Path(tmp_path / "a").glob("date=*")}
+    # A day that shares the hot day's hash partition is split along with it; the rest have one file.
+    assert files["date=2024-01-01"] > 3 and sorted(files.values())[-3] == 1
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 60_000
