@@ -127,3 +127,9 @@ def test_archive_splits_a_hot_day(spark, tmp_path):
     # A day that shares the hot day's hash partition is split along with it; the rest have one file.
     assert files["date=2024-01-01"] > 3 and sorted(files.values())[-3] == 1
     assert spark.read.parquet(str(tmp_path / "a")).count() == 60_000
+
+
+def test_running_totals_scan_once(spark, small):
+    progress = QUERIES["batch_progress"](spark, small)
+    progress.collect()
+    assert "ReusedExchange" in plan(progress)

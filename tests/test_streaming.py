@@ -129,6 +129,14 @@ def test_a_batch_without_alerts_leaves_no_folder(spark, small, folder, tmp_path)
     assert spark.read.parquet(str(tmp_path / "progress")).first().n == transactions(spark, small).count() + 1
 
 
+def test_an_empty_batch_writes_nothing(spark, folder, tmp_path):
+    batch = runner.enriched(ms.file_messages(spark, str(folder)), F.lit(DATE)).filter("false")
+    on_batch = runner.AlertBatch(with_rule_prediction, AlertStore(spark, str(tmp_path / "alerts")),
+                                 progress_path=str(tmp_path / "progress"))
+    on_batch(batch, 0)
+    assert not (tmp_path / "alerts").exists() and not (tmp_path / "progress").exists()
+
+
 def test_alerts_are_gathered_into_few_files(spark, folder, tmp_path):
     store = AlertStore(spark, str(tmp_path / "alerts"))
     runner.finish([_alert_query(spark, folder, tmp_path, runner.AlertBatch(with_rule_prediction, store))])
