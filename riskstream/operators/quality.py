@@ -38,5 +38,9 @@ def latest_by_key(df: DataFrame, key: str, newest_first: list[Column]) -> DataFr
 
 def drop_resent(stream: DataFrame, key: str = "transaction_id", time: str = "transaction_time",
                 lateness: str = "10 minutes") -> DataFrame:
-    """Streaming removal of re-sent keys, with state bounded by the watermark."""
+    """Streaming removal of re-sent keys, with state bounded by the watermark.
+
+    All copies of a key in one micro-batch meet in one task, so the trigger's rate limit bounds
+    what a much re-sent key can put there; for a whole table use ``latest_by_key``.
+    """
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -26,7 +27,7 @@ from riskstream.plans.transactions import (
 from riskstream.schema import (
     ALERT_COLUMNS, CSV_INDEX_COLUMN, NUMERIC_FEATURES, ONE_HOT_COLUMNS, TRANSACTION_SCHEMA,
 )
-from riskstream.session import fresh_folder
+from riskstream.session import fresh_folder, remove_folder
 from riskstream.sinks import files
 from riskstream.sinks.alert_store import AlertStore
 from riskstream.sources import messages as ms
@@ -277,22 +278,28 @@ def split_train_test(spark, folder):
 
 # -------------------------------------------------------- sources and sinks
 
-def _published(spark: SparkSession, folder: str) -> str:
-    """The transactions as JSON lines in a new folder."""
-    path = fresh_folder(spark, "messages")
+@contextmanager
+def _replayed(spark: SparkSession, folder: str) -> Iterator[tuple[DataFrame, str]]:
+    """The transactions as a stream of published JSON lines, and a checkpoint folder for it.
+    Both folders go once the stream has been drained into its table."""
+    published, checkpoint = fresh_folder(spark, "messages"), fresh_folder(spark, "checkpoint")
     records = cl.shape_record(replay_file_rows(transactions(spark, folder)))
-    files.publish_to_files(cl.to_messages(records), path)
-    return path
+    try:
+        files.publish_to_files(cl.to_messages(records), published)
+        yield ms.file_stream(spark, published), checkpoint
+    finally:
+        remove_folder(spark, published)
+        remove_folder(spark, checkpoint)
 
 
 @query("stream_source")
 def stream_source(spark, folder):
     """Every published message through the file stream into a raw landing table."""
     landing = fresh_folder(spark, "landing")
-    parsed = ms.parse_messages(ms.file_stream(spark, _published(spark, folder)))
-    writer = parsed.writeStream.format("parquet").option("path", landing) \
-        .option("checkpointLocation", fresh_folder(spark, "checkpoint"))
-    runner.finish([writer.trigger(availableNow=True).start()])
+    with _replayed(spark, folder) as (incoming, checkpoint):
+        writer = ms.parse_messages(incoming).writeStream.format("parquet") \
+            .option("path", landing).option("checkpointLocation", checkpoint)
+        runner.finish([writer.trigger(availableNow=True).start()])
     return spark.read.parquet(landing).select(*TRANSACTION_SCHEMA.names)
 
 
@@ -323,10 +330,9 @@ def archive_scan(spark, folder):
 @query("archive_stream")
 def archive_stream(spark, folder):
     path = fresh_folder(spark, "archive")
-    incoming = ms.file_stream(spark, _published(spark, folder))
-    runner.finish([runner.start_archive(
-        runner.enriched(incoming, _as_of()), path, fresh_folder(spark, "checkpoint"), runner.AVAILABLE_NOW
-    )])
+    with _replayed(spark, folder) as (incoming, checkpoint):
+        featured = runner.enriched(incoming, _as_of())
+        runner.finish([runner.start_archive(featured, path, checkpoint, runner.AVAILABLE_NOW)])
     return _feature_frame(spark.read.parquet(path))
 
 
@@ -334,11 +340,10 @@ def archive_stream(spark, folder):
 def alert_stream(spark, folder):
     store = AlertStore(spark, fresh_folder(spark, "alerts"))
     detected = F.col("transaction_time") + F.expr("interval 3 seconds")
-    incoming = ms.file_stream(spark, _published(spark, folder))
     on_batch = runner.AlertBatch(with_rule_prediction, store, detected_at=detected)
-    runner.finish([runner.start_alerts(
-        runner.enriched(incoming, _as_of()), on_batch, fresh_folder(spark, "checkpoint"), runner.AVAILABLE_NOW
-    )])
+    with _replayed(spark, folder) as (incoming, checkpoint):
+        featured = runner.enriched(incoming, _as_of())
+        runner.finish([runner.start_alerts(featured, on_batch, checkpoint, runner.AVAILABLE_NOW)])
     return store.read(_at(STREAM_READ_AT)).select(*ALERT_COLUMNS)
 
 

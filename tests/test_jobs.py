@@ -44,6 +44,10 @@ def test_whole_flow(spark, lake, capsys):
     assert 50 < current.count() < 1000
     assert current.filter("fraud_probability < 0.3 or fraud_probability is null").isEmpty()
 
+    jobs.main(["train", "--input", settings.archive_path, "--recipe", "random_forest_small",
+               "--model", str(lake / "retrained"), "--sample", "0.5", "--balance"])
+    assert "random_forest_small" in _text(capsys)
+
     jobs.main(["stats"])
     shown = next(line for line in _text(capsys).splitlines() if "total_alerts" in line)
     assert json.loads(shown.strip("|"))["total_alerts"] == current.count()
