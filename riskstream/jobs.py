@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,6 +98,15 @@ def alerts(spark: SparkSession, settings: Settings, args) -> DataFrame:
     return display_alerts(list_alerts(current, args.limit, args.category, args.state))
 
 
+def maintain(spark: SparkSession, settings: Settings, args) -> DataFrame:
+    """Delete expired alert folders and, with --compact-day, merge those of a finished day."""
+    store = AlertStore(spark, settings.alerts_path)
+    removed = store.purge(dt.datetime.now(), settings.retention_days)
+    if args.compact_day:
+        store.compact(dt.date.fromisoformat(args.compact_day))
+    return spark.createDataFrame([(removed,)], "removed_folders int")
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="riskstream")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -122,6 +132,7 @@ def _parser() -> argparse.ArgumentParser:
     add("publish", table=True).add_argument("--folder", help="write JSON lines here instead of to Kafka")
     add("convert", table=True).add_argument("--output", required=True)
     add("stats")
+    add("maintain").add_argument("--compact-day", help="YYYY-MM-DD")
     job = add("alerts")
     job.add_argument("--limit", type=int, default=1000)
     job.add_argument("--category")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -11,6 +12,7 @@ from riskstream.config import Settings
 from riskstream.plans.transactions import replay_file_rows, transactions
 from riskstream.sinks.alert_store import AlertStore
 from riskstream.sinks.files import write_csv
+from tests.test_alert_store import write
 
 
 @pytest.fixture
@@ -71,6 +73,17 @@ def test_convert(spark, lake):
     assert spark.read.parquet(str(lake / "pq")).count() == 1000
 
 
+def test_maintenance_purges_and_compacts(spark, lake, capsys):
+    store, today = AlertStore(spark, Settings.from_env().alerts_path, run_id=1), dt.datetime.now()
+    write(store, [("old", 1)], 0, today - dt.timedelta(days=31))
+    write(store, [("a", 1)], 1, today)
+    write(store, [("b", 1)], 2, today)
+    jobs.main(["maintain", "--compact-day", f"{today:%Y-%m-%d}"])
+    assert "|1" in _text(capsys).replace(" ", "")
+    assert {r.transaction_id for r in store.read().collect()} == {"a", "b"}
+    assert store.versions().select("part").distinct().count() == 1
+
+
 def test_bad_job_is_refused():
     with pytest.raises(SystemExit):
         jobs.main(["nothing"])

@@ -28,7 +28,8 @@ def test_area_against_all_pairs(spark, rows):
 @given(PAIRS)
 def test_sweep_against_brute_force(spark, rows):
     cuts = [0.1, 0.5, 0.95]
-    got = {r.threshold: (r.tp, r.fp, r.fn, r.tn) for r in mt.threshold_sweep(_frame(spark, rows), "score", cuts).collect()}
+    table = mt.threshold_sweep(_frame(spark, rows), "score", cuts).collect()
+    got = {r.threshold: (r.tp, r.fp, r.fn, r.tn) for r in table}
     assert got == {t: (sum(s >= t and y == 1 for s, y in rows), sum(s >= t and y == 0 for s, y in rows),
                        sum(s < t and y == 1 for s, y in rows), sum(s < t and y == 0 for s, y in rows)) for t in cuts}
 
@@ -68,3 +69,10 @@ def test_samples_nest_and_honour_the_ends(spark):
     assert sm.hash_sample(rows, 0.0).isEmpty() and sm.hash_sample(rows, 1.0).count() == 3000
     with pytest.raises(ValueError):
         sm.hash_sample(rows, 1.1)
+
+
+def test_rows_without_a_score_are_left_out(spark):
+    rows = [(0.9, 1), (float("nan"), 1), (None, 0), (0.2, None), (0.1, 0)]
+    row = mt.threshold_sweep(_frame(spark, rows), "score", [0.5]).first()
+    assert (row.tp, row.fp, row.fn, row.tn) == (1, 0, 0, 1)
+    assert mt.area_under_roc(_frame(spark, rows), "score") == 1.0
