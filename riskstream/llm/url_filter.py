@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskstream.llm.common import written
+
 #: Urls of one host that share a sweep, unless the host has so many rules that repeating them would
 #: cost more than the urls: then ten urls for each rule.
 SWEEP = 128
@@ -72,7 +74,7 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: DataFrame, default:
     without ``://`` has empty host and path and so no rule. Other columns of ``pages`` are ignored,
     repeated rows stay, an empty table or no rules at all are allowed.
     """
-    stacks = nested_rules(rules)
+    stacks = written(nested_rules(rules), "rules")
     depth = rules.agg(F.max(F.size(F.split("host", "\\.", -1)))).first()[0] or 0
     urls = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     labels = F.split("host", "\\.", -1)
@@ -81,12 +83,13 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: DataFrame, default:
               .select("host", "path", "labels",
                       F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size("labels"), F.lit(depth))))).alias("d"))
               .select("host", "path", host_key(F.col("labels"), F.col("d")).alias("anchor")))
-    ruled = stacks.groupBy("anchor").agg(F.count("*").alias("rules"))
+    ruled = written(stacks.groupBy("anchor").agg(F.count("*").alias("rules")), "ruled")
     probes = probes.join(ruled, "anchor")
 
     most = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = (probes.groupBy("anchor").agg(F.count("*").alias("n"), F.first("rules").alias("r"))
-             .select("anchor", F.least(F.lit(most), F.ceil(F.col("n") / F.greatest(F.lit(SWEEP), 10 * F.col("r")))).cast("int").alias("salts")))
+    salts = written(
+        probes.groupBy("anchor").agg(F.count("*").alias("n"), F.first("rules").alias("r"))
+        .select("anchor", F.least(F.lit(most), F.ceil(F.col("n") / F.greatest(F.lit(SWEEP), 10 * F.col("r")))).cast("int").alias("salts")), "salts")
     asked = (probes.join(salts, "anchor")
              .select("anchor", F.pmod(F.xxhash64("host", "path"), F.col("salts")).cast("int").alias("salt"),
                      "path", F.lit(1).alias("kind"), "host", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")))
