@@ -74,15 +74,26 @@ def connected_components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
 
 
+def shared_buckets(buckets: DataFrame, describe: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Of (bucket, id), as a stored table, the distinct rows of buckets with more than one id, with the
+    columns that ``describe`` adds.
+
+    The first pass moves a bucket's smallest and largest id only, so that buckets of one item, nearly
+    all of them, end there.
+    """
+    many = (buckets.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+            .where("lo <> hi").select("bucket"))
+    rows = buckets.join(written(many, "shared"), "bucket").distinct()
+    return written(describe(rows), "buckets")
+
+
 def bucket_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      describe: Callable[[Column], list[Column]] = lambda _: [],
-                      near: Callable[..., Column] | None = None) -> DataFrame:
+                      near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column]) -> DataFrame:
     """Components of the graph whose links are the id pairs that share a bucket and pass ``verify``.
 
-    ``buckets`` is a stored table (bucket: long, id: long, and the columns that ``describe`` computes
-    from an id); ``verify`` keeps the true links of a table of distinct pairs (a, b), a < b. Where a
-    test of ids and descriptions exists, ``near(a, a_columns, b, b_columns)`` filters inside the joins.
-    Returns (id, component) of the linked ids.
+    ``buckets`` comes from ``shared_buckets``. ``near`` is a test that no link fails, of the columns of
+    two rows; it filters inside the joins. ``verify`` keeps the true links of a table of distinct pairs
+    (a, b), a < b. Returns (id, component) of the linked ids.
 
     A group of near copies makes as many pairs as the square of its size, so pairs are never listed
     per bucket. First each member meets at most four centres of its bucket. Then only pairs whose
@@ -90,48 +101,38 @@ def bucket_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     bucket's largest component. A pair left out is either tested as a centre's pair or already
     connected, so the components are those of all pairs.
     """
-    described = [c for c in buckets.columns if c not in ("bucket", "id")]
-
-    def columns(prefix: str) -> list[Column]:
-        return [F.col(f"{prefix}_{c}") for c in described]
+    columns = [c for c in buckets.columns if c != "bucket"]
 
     def renamed(df: DataFrame, prefix: str, *more: Column) -> DataFrame:
-        return df.select("bucket", F.col("id").alias(prefix), *more, *[F.col(c).alias(f"{prefix}_{c}") for c in described])
-
-    def close(x: str, y: str) -> Column:
-        return near(F.col(x), columns(x), F.col(y), columns(y)) if near else F.lit(True)
-
-    def pair(x: str, y: str) -> list[Column]:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-    centre = F.array_distinct(F.array(
-        F.min("id"), F.max("id"), F.min_by("id", F.xxhash64(F.col("id"), F.lit(1))),
-        F.min_by("id", F.xxhash64(F.col("id"), F.lit(2)))))
-    shared = written(buckets.groupBy("bucket").agg(F.count("*").alias("n"), centre.alias("centres"))
-                     .where("n > 1 and size(centres) > 1"), "centres")
-    meeting = (renamed(buckets, "x").join(shared.select("bucket", "centres"), "bucket")
-               .withColumn("y", F.explode("centres")).where("x <> y")
-               .withColumns({f"y_{n}": c for n, c in zip(described, describe(F.col("y")), strict=True)}))
-    stars = meeting.where(close("x", "y")).select(*pair("x", "y")).distinct()
+        return df.select("bucket", *more, *[F.col(c).alias(f"{prefix}_{c}") for c in columns])
+
+    def close() -> Column:
+        return near(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
+
+    pair = [F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")]
+    item = F.struct("id", *[c for c in columns if c != "id"])
+    centre = F.array_distinct(F.array(F.min(item), F.max(item), F.min_by(item, F.xxhash64(F.col("id"), F.lit(1))),
+                                      F.min_by(item, F.xxhash64(F.col("id"), F.lit(2)))))
+    shared = written(buckets.groupBy("bucket").agg(F.count("*").alias("n"), centre.alias("centres")), "centres")
+    stars = (renamed(buckets, "x").join(shared.select("bucket", F.explode("centres").alias("y")), "bucket")
+             .withColumns({f"y_{c}": F.col(f"y.{c}") for c in columns})
+             .where("x_id <> y_id").where(close()).select(*pair).distinct())
     first = written(connected_components(verify(stars)), "components")
 
     open_buckets = shared.where(F.col("n") - F.size("centres") >= 2).select("bucket")
-    members = written(
-        buckets.join(open_buckets, "bucket").join(first, "id", "left")
-        .select("bucket", "id", *described, F.coalesce("component", "id").alias("c")), "members")
+    members = written(buckets.join(open_buckets, "bucket").join(first, "id", "left")
+                      .select("bucket", *columns, F.coalesce("component", "id").alias("c")), "members")
     mixed = (members.groupBy("bucket", "c").agg(F.count("*").alias("n"))
              .groupBy("bucket").agg(F.max_by("c", "n").alias("main"), F.count("*").alias("cs"))
              .where("cs > 1").select("bucket", "main"))
-    mixed = written(mixed, "mixed")
-    inside = members.join(mixed, "bucket")
+    inside = members.join(written(mixed, "mixed"), "bucket")
     left = renamed(inside, "x", F.col("c").alias("xc"), F.col("main"))
     right = renamed(inside.where("c <> main"), "y", F.col("c").alias("yc"))
-    rest = (left.join(right, "bucket").where("xc <> yc and (xc = main or x < y)").where(close("x", "y"))
-            .select(*pair("x", "y")).distinct())
-    late = verify(rest)
+    rest = (left.join(right, "bucket").where("xc <> yc and (xc = main or x_id < y_id)").where(close())
+            .select(*pair).distinct())
     at = first.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     bt = first.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    joined = (late.join(at, "a", "left").join(bt, "b", "left")
+    joined = (verify(rest).join(at, "a", "left").join(bt, "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct())
     joined = written(joined, "late")
     second = connected_components(joined).toDF("component", "root")

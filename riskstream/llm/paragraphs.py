@@ -8,21 +8,22 @@ similarity, linked ones form components, and of a component's occurrences the fi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import WORD, bucket_components, free_name, written
+from riskstream.llm.common import WORD, bucket_components, free_name, shared_buckets, written
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
 RECALL, FALSE = 0.995, 0.5
-PRIME = (1 << 61) - 1
+#: Longs of a paragraph's bit sketch.
+SKETCH = 16
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: float = FALSE) -> tuple[int, int]:
@@ -64,6 +65,30 @@ def band_hashes(texts: pd.Series, bands: int, rows: int) -> list[np.ndarray]:
     return list(out.view(np.int64))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The number of distinct shingles, and ``SKETCH`` longs with a bit for each shingle's hash."""
+    for batch in texts:
+        out = []
+        for text in batch:
+            found = np.unique(_shingles(text))
+            bits = np.zeros(64 * SKETCH, dtype=np.uint8)
+            bits[found % np.uint64(64 * SKETCH)] = 1
+            out.append([len(found), *np.packbits(bits).view(np.int64).tolist()])
+        yield pd.Series(out, index=batch.index)
+
+
+def may_be_near(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """False only for pairs below the threshold: a bit that one sketch alone has stands for at least one
+    shingle that the other text lacks, which bounds the shingles in common."""
+    def common(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        alone = sum((F.bit_count(x("s")[i].bitwiseAND(F.bitwise_not(y("s")[i]))) for i in range(1, SKETCH + 1)), F.lit(0))
+        return x("s")[0] - alone
+
+    needed = THRESHOLD / (1 + THRESHOLD) * (a("s")[0] + b("s")[0]) - 1e-6
+    return F.least(common(a, b), common(b, a)) >= needed
+
+
 @F.pandas_udf(T.DoubleType())
 def jaccard(left: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     def sets(text: str) -> set:
@@ -72,8 +97,10 @@ def jaccard(left: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)}
 
     for a, b in left:
-        pairs = [(sets(x), sets(y)) for x, y in zip(a, b, strict=True)]
-        yield pd.Series([len(x & y) / len(x | y) for x, y in pairs], dtype="float64")
+        known = {t: sets(t) for t in {*a, *b}}  # a text has many partners in a group of near copies
+        common = [len(known[x] & known[y]) for x, y in zip(a, b, strict=True)]
+        sizes = [len(known[x]) + len(known[y]) for x, y in zip(a, b, strict=True)]
+        yield pd.Series([c / (n - c) for c, n in zip(common, sizes, strict=True)], dtype="float64")
 
 
 def paragraph_rows(docs: DataFrame) -> DataFrame:
@@ -96,10 +123,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
 
     found = paragraph_rows(docs).withColumn("pid", F.xxhash64("words"))
     places = written(found.select("doc_id", "key", "pos", "pid", banded("words").alias("bands")), "paragraphs")
-    exploded = places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id"))
-    shared = written(exploded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                     .where("lo <> hi").select("bucket"), "shared")
-    buckets = written(exploded.join(shared, "bucket").distinct(), "buckets")
+    buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
     texts = written(found.select("pid", "words").join(wanted, "pid", "left_semi").groupBy("pid").agg(F.first("words").alias("words")), "texts")
 
@@ -107,7 +131,8 @@ def repeated_places(docs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("pid").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
         return pairs.join(a, "a").join(b, "b").where(jaccard("a_words", "b_words") >= THRESHOLD).select("a", "b")
 
-    linked = written(bucket_components(buckets, verify).withColumnRenamed("id", "pid"), "linked")
+    described = written(buckets.join(texts.select(F.col("pid").alias("id"), sketch("words").alias("s")), "id"), "buckets")
+    linked = written(bucket_components(described, verify, may_be_near).withColumnRenamed("id", "pid"), "linked")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "pos")
     named = (places.select("doc_id", "key", "pos", "pid").join(linked, "pid", "left")
              .select("doc_id", "key", "pos", F.coalesce("component", "pid").alias("c")))

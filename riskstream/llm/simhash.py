@@ -13,7 +13,7 @@ buckets small.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import bucket_components, free_name, written
+from riskstream.llm.common import bucket_components, free_name, shared_buckets, written
 
 SHINGLE, LIMIT, SEED, BLOCKS = 4, 4, 42, 6
 #: Reference fingerprints: 64-bit words from the generator of Steele et al. (SplitMix64).
@@ -98,29 +98,25 @@ def coordinates_near(a: Column, b: Column) -> Column:
 
 
 def fingerprint_buckets(fps: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """(bucket, id, pivot table): each fingerprint under every choice of the blocks that must agree."""
+    """(bucket, id): each fingerprint under every choice of the blocks that must agree."""
     bounds = [round(64 * i / blocks) for i in range(blocks + 1)]
     keys = []
     for number, kept in enumerate(combinations(range(blocks), blocks - LIMIT)):
         mask = sum(((1 << (bounds[k + 1] - bounds[k])) - 1) << bounds[k] for k in kept)
         mask = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.xxhash64(F.lit(number), F.col("fp").bitwiseAND(F.lit(mask))))
-    return (fps.select("fp", *pivot_table(F.col("fp")))
-            .select(F.explode(F.array(*keys)).alias("bucket"), F.col("fp").alias("id"), "t0", "t1"))
+    return fps.select(F.explode(F.array(*keys)).alias("bucket"), F.col("fp").alias("id"))
 
 
-def near(a: Column, a_table: list[Column], b: Column, b_table: list[Column]) -> Column:
+def near(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
     """Within ``LIMIT`` bits: the coordinates first, then the fingerprints themselves."""
-    test = F.lit(True)
-    for x, y in zip(a_table, b_table, strict=True):
-        test = test & coordinates_near(x, y)
-    return test & (distance(a, b) <= LIMIT)
+    return coordinates_near(a("t0"), b("t0")) & coordinates_near(a("t1"), b("t1")) & (distance(a("id"), b("id")) <= LIMIT)
 
 
 def fingerprint_components(fps: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """(id, component) of the distinct fingerprints ``fps`` (fp: long) that have a link."""
-    buckets = written(fingerprint_buckets(fps, blocks), "buckets")
-    return bucket_components(buckets, lambda pairs: pairs, pivot_table, near)
+    buckets = shared_buckets(fingerprint_buckets(fps, blocks), lambda rows: rows.select("*", *pivot_table(F.col("id"))))
+    return bucket_components(buckets, lambda pairs: pairs, near)
 
 
 def simhash_components(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
