@@ -23,7 +23,7 @@ SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
 RECALL, FALSE = 0.995, 0.5
 #: Longs of a paragraph's bit sketch.
-SKETCH = 16
+SKETCH = 6
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: float = FALSE) -> tuple[int, int]:
@@ -82,10 +82,10 @@ def may_be_near(a: Callable[[str], Column], b: Callable[[str], Column]) -> Colum
     """False only for pairs below the threshold: a bit that one sketch alone has stands for at least one
     shingle that the other text lacks, which bounds the shingles in common."""
     def common(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
-        alone = sum((F.bit_count(x("s")[i].bitwiseAND(F.bitwise_not(y("s")[i]))) for i in range(1, SKETCH + 1)), F.lit(0))
-        return x("s")[0] - alone
+        alone = sum((F.bit_count(x(f"s{i}").bitwiseAND(F.bitwise_not(y(f"s{i}")))) for i in range(1, SKETCH + 1)), F.lit(0))
+        return x("s0") - alone
 
-    needed = THRESHOLD / (1 + THRESHOLD) * (a("s")[0] + b("s")[0]) - 1e-6
+    needed = THRESHOLD / (1 + THRESHOLD) * (a("s0") + b("s0")) - 1e-6
     return F.least(common(a, b), common(b, a)) >= needed
 
 
@@ -131,7 +131,9 @@ def repeated_places(docs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("pid").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
         return pairs.join(a, "a").join(b, "b").where(jaccard("a_words", "b_words") >= THRESHOLD).select("a", "b")
 
-    described = written(buckets.join(texts.select(F.col("pid").alias("id"), sketch("words").alias("s")), "id"), "buckets")
+    sketches = texts.select(F.col("pid").alias("id"), sketch("words").alias("s"))
+    sketches = sketches.select("id", *[F.col("s")[i].alias(f"s{i}") for i in range(SKETCH + 1)])
+    described = written(buckets.join(sketches, "id"), "buckets")
     linked = written(bucket_components(described, verify, may_be_near).withColumnRenamed("id", "pid"), "linked")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "pos")
     named = (places.select("doc_id", "key", "pos", "pid").join(linked, "pid", "left")
