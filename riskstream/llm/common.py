@@ -12,6 +12,8 @@ from riskstream.session import fresh_folder, remove_folder
 
 #: A word is a run of anything but blank, tab, newline, vertical tab, form feed, carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Members of a bucket that all others are held against first.
+CENTRES = 6
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,7 +98,7 @@ def bucket_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     (a, b), a < b. Returns (id, component) of the linked ids.
 
     A group of near copies makes as many pairs as the square of its size, so pairs are never listed
-    per bucket. First each member meets at most four centres of its bucket. Then only pairs whose
+    per bucket. First each member meets at most ``CENTRES`` centres of its bucket. Then only pairs whose
     ends still lie in different components are looked at, each with at least one end outside the
     bucket's largest component. A pair left out is either tested as a centre's pair or already
     connected, so the components are those of all pairs.
@@ -111,8 +113,8 @@ def bucket_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
 
     pair = [F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")]
     item = F.struct("id", *[c for c in columns if c != "id"])
-    centre = F.array_distinct(F.array(F.min(item), F.max(item), F.min_by(item, F.xxhash64(F.col("id"), F.lit(1))),
-                                      F.min_by(item, F.xxhash64(F.col("id"), F.lit(2)))))
+    centre = F.array_distinct(F.array(F.min(item), F.max(item),
+                                      *[F.min_by(item, F.xxhash64(F.col("id"), F.lit(n))) for n in range(CENTRES - 2)]))
     shared = written(buckets.groupBy("bucket").agg(F.count("*").alias("n"), centre.alias("centres")), "centres")
     stars = (renamed(buckets, "x").join(shared.select("bucket", F.explode("centres").alias("y")), "bucket")
              .withColumns({f"y_{c}": F.col(f"y.{c}") for c in columns})

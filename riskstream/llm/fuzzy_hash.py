@@ -118,7 +118,7 @@ def _spans(rows: DataFrame, spans: int) -> DataFrame:
     are approximate quantiles of the ids: driver data in the number of spans, not of rows."""
     cuts = rows.where("doc_id is not null").stat.approxQuantile(
         "doc_id", [i / spans for i in range(1, spans)], 0.2 / spans) if spans > 1 else []
-    splits = [float("-inf"), *sorted({float(int(c)) for c in cuts}), float("inf")]
+    splits = [float("-inf"), *sorted({0.0} | {float(int(c)) for c in cuts}), float("inf")]
     placed = Bucketizer(splits=splits, inputCol="place", outputCol="bucket", handleInvalid="keep").transform(
         rows.withColumn("place", F.col("doc_id").cast("double")))
     last = len(splits) - 1

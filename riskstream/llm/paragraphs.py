@@ -23,7 +23,7 @@ SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
 RECALL, FALSE = 0.995, 0.5
 #: Longs of a paragraph's bit sketch.
-SKETCH = 6
+SKETCH = 16
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: float = FALSE) -> tuple[int, int]:
