@@ -146,7 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"riskstream-{args.job}", settings)
     result = globals()[args.job](spark, settings, args)
     if result is not None:
-        result.show(50, truncate=False)
+        result.show(getattr(args, "limit", 1000), truncate=False)  # all that was asked for
 
 
 if __name__ == "__main__":

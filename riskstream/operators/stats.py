@@ -14,12 +14,17 @@ def alert_count(alerts: DataFrame) -> DataFrame:
     return alerts.agg(F.count("*").alias("count"))
 
 
+def _finite_amount() -> Column:
+    """Null for an amount that is missing, NaN or infinite."""
+    return F.when(F.abs("amount") < float("inf"), F.col("amount"))
+
+
 def alert_stats(alerts: DataFrame) -> DataFrame:
-    """One row, zeros for an empty table; rows without an amount count but do not add."""
+    """One row, zeros for an empty table; rows without a finite amount count but do not add."""
     return alerts.agg(
         F.count("*").alias("total_alerts"),
-        F.round(F.coalesce(F.sum("amount"), F.lit(0.0)), 2).alias("total_amount"),
-        F.round(F.coalesce(F.avg("amount"), F.lit(0.0)), 2).alias("avg_amount"),
+        F.round(F.coalesce(F.sum(_finite_amount()), F.lit(0.0)), 2).alias("total_amount"),
+        F.round(F.coalesce(F.avg(_finite_amount()), F.lit(0.0)), 2).alias("avg_amount"),
     )
 
 
@@ -43,8 +48,9 @@ def alert_stats_maps(alerts: DataFrame) -> DataFrame:
     The rows are read once into (category, state) cells; grouping sets over those cells give
     the three levels, and only one entry per category or state reaches the final row.
     """
-    cells = alerts.groupBy("category", "state").agg(
-        F.count("*").alias("n"), F.count("amount").alias("priced"), F.sum("amount").alias("amount")
+    named = F.coalesce("category", F.lit("null")).alias("category")  # one map key with the text "null"
+    cells = alerts.groupBy(named, "state").agg(
+        F.count("*").alias("n"), F.count(_finite_amount()).alias("priced"), F.sum(_finite_amount()).alias("amount")
     )
     category, state = F.col("category"), F.col("state")
     levels = cells.groupingSets([[category], [state], []], category, state).agg(
@@ -53,7 +59,7 @@ def alert_stats_maps(alerts: DataFrame) -> DataFrame:
     )
     # grouping_id has a bit per absent column: category level 0b01, state level 0b10, total 0b11.
     per_category = F.when(
-        F.col("level") == 1, F.struct(F.coalesce("category", F.lit("null")).alias("k"), F.col("n").alias("v"))
+        F.col("level") == 1, F.struct(F.col("category").alias("k"), F.col("n").alias("v"))
     )
     per_state = F.when(
         (F.col("level") == 2) & _known_state(), F.struct(F.col("state").alias("k"), F.col("n").alias("v"))

@@ -235,7 +235,8 @@ _BODIES: dict[str, str] = {
             from t group by category)
         select transaction_id, category, cast(i as double) as category_idx from t join c using (category)""",
     "assemble_skip": f"select transaction_id, amount from t where {COMPLETE}",
-    "model_roundtrip": f"select count(*) as scored, cast(0 as bigint) as differing from t where {COMPLETE}",
+    "model_roundtrip": "select count(*) as scored, cast(0 as bigint) as differing from t",
+    "score_batch": "select transaction_id, amount, is_fraud, true as is_probability, true as fits_prediction from t",
 }
 
 # Queries that read a source table directly.

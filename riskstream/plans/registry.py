@@ -485,7 +485,9 @@ def train_rf_lean(spark, folder):
 def score_batch(spark, folder):
     model = _trained(spark, folder, tr.RANDOM_FOREST_SMALL)
     scored = tr.score(model, tr.RANDOM_FOREST_SMALL, _model_rows(spark, folder))
-    return scored.select("transaction_id", "amount", "is_fraud", "prediction", "fraud_probability")
+    p = F.col("fraud_probability")
+    return scored.select("transaction_id", "amount", "is_fraud", p.between(0, 1).alias("is_probability"),
+                         (F.col("prediction") == (p > 0.5).cast("double")).alias("fits_prediction"))
 
 
 @query("feature_importance")

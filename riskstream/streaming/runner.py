@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 import math
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -79,6 +80,7 @@ class AlertBatch:
     progress_path: str | None = None
     dead_letter_path: str | None = None
     detected_at: Column | None = None
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)  # keeps the dead letters of runs apart
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         try:
@@ -87,7 +89,7 @@ class AlertBatch:
             if self.dead_letter_path is None:
                 raise
             log.exception("batch %s failed and goes to the dead-letter folder", batch_id)
-            batch.write.mode("overwrite").parquet(f"{self.dead_letter_path}/batch_id={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{self.dead_letter_path}/run={self.run}/batch_id={batch_id}")
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         scored = self.score(batch.filter(~is_bad()))

@@ -40,7 +40,7 @@ def differences(spark_frame, connection, sql: str) -> list[str]:
     kinds = {d[0]: str(d[1]) for d in result.description}
     if sorted(names) != sorted(spark_frame.columns):
         return [f"columns {sorted(spark_frame.columns)} against {sorted(names)}"]
-    expected = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    expected = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
                 "timestamp": "TIMESTAMP"}
     problems = [
         f"type of {name}: {kind} against {kinds[name]}"

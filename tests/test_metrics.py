@@ -76,3 +76,17 @@ def test_rows_without_a_score_are_left_out(spark):
     row = mt.threshold_sweep(_frame(spark, rows), "score", [0.5]).first()
     assert (row.tp, row.fp, row.fn, row.tn) == (1, 0, 0, 1)
     assert mt.area_under_roc(_frame(spark, rows), "score") == 1.0
+
+
+def test_area_of_one_class_is_unknown(spark):
+    frame = spark.createDataFrame([(1, 0.5), (1, 0.7)], "is_fraud int, score double")
+    assert mt.area_under_roc(frame, "score") is None and mt.auc_roc(frame, "score").first().auc is None
+
+
+def test_statistics_of_odd_alerts(spark):
+    from riskstream.operators import stats
+    rows = [(None, "TX", 10.0), ("null", "TX", float("nan")), ("a", None, float("inf")), ("a", "", None)]
+    alerts = spark.createDataFrame(rows, "category string, state string, amount double")
+    row = stats.alert_stats_maps(alerts).first()
+    assert (row.total_alerts, row.total_amount, row.avg_amount) == (4, 10.0, 10.0) == tuple(stats.alert_stats(alerts).first())
+    assert row.by_category == {"null": 2, "a": 2} and row.by_state == {"TX": 2}
