@@ -3,8 +3,15 @@ digested, and joined to the digests of known licence texts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from collections.abc import Iterator
+from hashlib import sha256
+from itertools import groupby
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Licences and the texts by which they are known, one per wording.
 KNOWN = (
@@ -44,27 +51,58 @@ EQUIVALENT = (
 
 #: A line that only says whose the text is.
 COPYRIGHT_LINE = "(?mi)^[^\\p{L}\\p{N}\\n]*(copyright|©|\\(c\\))[^\\n]*\\d{4}[^\\n]*$"
+_MARKS = ("copyright", "©", "(c)")
+_OWNED = re.compile(r"[\W_]*(?:copyright|©|\(c\)).*[0-9]{4}")
+_BETWEEN = re.compile(r"[\W_]+")
+#: Each ASCII byte as it counts in a word: letters lower-cased, digits, blanks for the rest.
+_PLAIN = bytes(b if chr(b).isalnum() else 32 for b in bytes(range(128)).lower()) + bytes(128)
+_BLANK = " \t\n\x0b\f\r"
+
+
+def line_words(line: str) -> list[str]:
+    """The words of a lower-case line: runs of letters and digits; a copyright line has none."""
+    if any(mark in line for mark in _MARKS) and _OWNED.match(line):
+        return []
+    plain = line.encode().translate(_PLAIN).decode() if line.isascii() else _BETWEEN.sub(" ", line)
+    return plain.split()
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines and punctuation, one spelling, single blanks."""
-    plain = F.when(text.rlike(COPYRIGHT_LINE), F.regexp_replace(text, COPYRIGHT_LINE, " ")).otherwise(text)
-    plain = F.trim(F.regexp_replace(F.lower(plain), "[^\\p{L}\\p{N}]+", " "))
-    spelled = F.concat(F.lit(" "), F.replace(plain, F.lit(" "), F.lit("  ")), F.lit(" "))  # each word has its own blanks
+def canonical(lines: list[list[str]]) -> str:
+    """The words of all lines in one spelling, with single blanks."""
+    spelled = "  ".join([word for line in lines for word in line])  # between two words each has its own blank
+    spelled = f" {spelled} "
     for other, one in EQUIVALENT:
-        spelled = F.replace(spelled, F.lit(f" {other.replace(' ', '  ')} "), F.lit(f" {one.replace(' ', '  ')} "))
-    any_other = "|".join(other for other, _ in EQUIVALENT)
-    return F.when(plain.rlike(any_other), F.trim(F.replace(spelled, F.lit("  "), F.lit(" ")))).otherwise(plain)
+        if other.partition(" ")[0] in spelled:
+            spelled = spelled.replace(f" {other.replace(' ', '  ')} ", f" {one.replace(' ', '  ')} ")
+    return spelled.replace("  ", " ").strip()
+
+
+def text_units(text: str) -> list[list[list[str]]]:
+    """The whole text, its paragraphs if there are empty lines within, and its lines if there are
+    several, each as the word lists of its lines. The text is split into words once."""
+    raw = text.lower().split("\n")
+    words = [line_words(line) for line in raw]
+    units = [words]
+    if len(raw) > 1:
+        empty = [not line.strip(_BLANK) for line in raw]
+        if any(empty[1:-1]):
+            units += [[words[i] for i in group] for blank, group in groupby(range(len(raw)), empty.__getitem__) if not blank]
+        units += [[line] for line in words]
+    return units
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+@F.pandas_udf(T.ArrayType(T.BinaryType()))
+def unit_digests(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The digest of each unit of each text, the whole text's first."""
+    for batch in texts:
+        yield pd.Series([[sha256(canonical(unit).encode()).digest() for unit in text_units(text)] for text in batch],
+                        index=batch.index, dtype="object")
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """(digest, license) of the known texts, one row per digest (the first license in code point order)."""
     frame = spark.createDataFrame(list(known), "license string, text string")
-    return frame.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    return frame.groupBy(unit_digests("text")[0].alias("digest")).agg(F.min("license").alias("license"))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -77,11 +115,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("text"))
-    paragraphs, lines = F.split("text", "\\n\\s*\\n"), F.split("text", "\\n")
-    units = F.concat(F.array("text"), F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")),
-                     F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
-    found = (rows.select("doc_id", "key", F.posexplode(units).alias("at", "unit"))
-             .select("doc_id", "key", "at", digest(F.col("unit")).alias("digest"))
+    found = (rows.select("doc_id", "key", F.posexplode(unit_digests("text")).alias("at", "digest"))
              .join(known, "digest").select("doc_id", "key", "at", "license").distinct()
              .groupBy("doc_id", "key").agg(
                  F.min(F.when(F.col("at") == 0, F.col("license"))).alias("license"),
