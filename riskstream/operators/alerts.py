@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.scalars import format_amount
@@ -11,8 +11,6 @@ from riskstream.schema import (
     ALERT_SERVED_COLUMNS,
 )
 
-DIRECT_TOP_N = 10_000
-
 
 def newest_first() -> list[Column]:
     """A total order, so a limit always returns the same rows."""
@@ -37,17 +35,9 @@ def alert_projection(scored: DataFrame, detected_at: Column | None = None,
 def newest(alerts: DataFrame, n: int) -> DataFrame:
     """The n newest alerts, in order.
 
-    Every task of a top-n sends n rows to the last one, which only suits a small n. For a
-    large one the minute of the n-th alert is looked up first, from counts per minute, and
-    older alerts are filtered out in the scan; the result is the same. Thirty days have 43,200
-    minutes, so the running count over them is small.
+    One plan for every n: Spark's top-n, in which each task sends its n newest rows at most.
+    ``ALERT_LIMIT_RANGE`` bounds n.
     """
-    if n > DIRECT_TOP_N:
-        minute = F.date_trunc("minute", "detected_at")
-        counts = alerts.groupBy(minute.alias("minute")).agg(F.count("*").alias("n"))
-        reached = counts.withColumn("reached", F.sum("n").over(Window.orderBy(F.desc("minute"))))
-        cut = reached.filter(F.col("reached") >= n).agg(F.max("minute")).scalar()
-        alerts = alerts.filter(cut.isNull() | (F.col("detected_at") >= cut))
     return alerts.orderBy(*newest_first()).limit(n)
 
 

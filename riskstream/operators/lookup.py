@@ -1,34 +1,20 @@
-"""Joins against small derived tables, broadcast only after their size has been checked."""
+"""Joins against small derived tables, left to the optimizer, which broadcasts by measured size."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
-
-
-def join_lookup(df: DataFrame, lookup: DataFrame, on: str,
-                row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Left join with a cheap-to-read ``lookup`` on one column.
-
-    The rows of the lookup are counted up to the limit. Within it the table is broadcast;
-    beyond it the join is left to the optimizer, whose adaptive skew handling splits hot keys.
-    """
-    small = lookup.limit(row_limit + 1).count() <= row_limit
-    return df.join(F.broadcast(lookup) if small else lookup, on, "left")
-
 
 def category_risk(training: DataFrame, label: str = "is_fraud", smoothing: float = 100.0) -> DataFrame:
     """Smoothed positive rate per lower-cased category: (positives + m * prior) / (rows + m).
 
-    ``prior`` is the overall rate. The counts, one row per category, are kept: the prior, the
-    rates and the size check of a later join all come from them, so the rows are read once.
+    ``prior`` is the overall rate. Nothing runs or is kept while the plan is built; the counts,
+    one row per category, are one exchange, which Spark reuses for the prior and the rates.
     """
     counts = training.groupBy(F.lower("category").alias("category_key")).agg(
         F.count(label).alias("n"), F.sum(F.col(label).cast("long")).alias("positives")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
     prior = counts.agg(
         F.coalesce(F.sum("positives") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0))
     ).scalar()
@@ -42,7 +28,7 @@ def with_category_risk(df: DataFrame, risk: DataFrame) -> DataFrame:
     """Attach ``category_risk_score`` (the prior for unseen categories) and risk x amount."""
     prior = risk.agg(F.coalesce(F.max("risk_prior"), F.lit(0.0))).scalar()
     keyed = df.withColumn("category_key", F.lower("category"))
-    joined = join_lookup(keyed, risk, "category_key")
+    joined = keyed.join(risk, "category_key", "left")
     score = F.coalesce("category_risk_score", prior)
     return joined.drop("category_key", "risk_prior").withColumns(
         {"category_risk_score": score, "risk_amount_interaction": score * F.col("amount")}

@@ -40,6 +40,15 @@ def new_run_id() -> int:
     return time.time_ns() // 1_000_000
 
 
+def run_id_of(spark: SparkSession, checkpoint: str) -> int:
+    """The run id of a stream, kept inside its checkpoint: a restart from the checkpoint has the
+    same one, so a replayed batch replaces what its failed attempt wrote."""
+    path = f"{checkpoint}/run"
+    if not folder_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).select(F.lit(new_run_id()).alias("run_id")).write.mode("overwrite").parquet(path)
+    return spark.read.schema("run_id long").parquet(path).first().run_id
+
+
 @dataclass
 class AlertStore:
     spark: SparkSession
@@ -83,13 +92,21 @@ class AlertStore:
         return current.filter(F.col("detected_at") >= cutoff).select(*_ROW)
 
     def purge(self, as_of: dt.datetime, retention_days: int = ALERT_RETENTION_DAYS) -> int:
-        """Delete folders whose rows have all expired; returns how many."""
+        """Delete folders whose rows have all expired; returns how many.
+
+        A folder stays while one of its rows is the current one of a transaction that has a version
+        in an unexpired folder too: a replayed old batch can be younger than the batch that replaced
+        it, and would show again without its winner.
+        """
         cutoff = as_of - dt.timedelta(days=retention_days)
-        expired = (
-            self.versions().groupBy("part").agg(F.max("detected_at").alias("newest"))
-            .filter(F.col("newest") < F.lit(cutoff)).select("part")
-        )
-        return self._delete_folders(f"{self.root}/part={r.part}" for r in expired.toLocalIterator())
+        versions = self.versions()
+        newest = versions.groupBy("part").agg(F.max("detected_at").alias("newest"))
+        expired = newest.filter(F.col("newest") < F.lit(cutoff)).select("part")
+        old = _current(versions).join(expired, "part", "left_semi").select("part", "transaction_id")
+        live = versions.join(expired, "part", "left_anti").select("transaction_id")
+        needed = old.join(live, "transaction_id", "left_semi").select("part").distinct()
+        gone = expired.join(needed, "part", "left_anti")
+        return self._delete_folders([f"{self.root}/part={r.part}" for r in gone.toLocalIterator()])
 
     def compact(self, day: dt.date) -> None:
         """Merge the folders written on one finished day into one.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -19,14 +18,13 @@ from riskstream.operators.features import with_features
 from riskstream.operators.quality import is_bad, split_bad
 from riskstream.operators.stats import batch_metrics
 from riskstream.schema import ALERT_COPIED_COLUMNS
-from riskstream.sinks.alert_store import AlertStore
+from riskstream.sinks.alert_store import AlertStore, run_id_of
 from riskstream.sources.messages import parse_messages
 
 log = logging.getLogger(__name__)
 
 Scorer = Callable[[DataFrame], DataFrame]
 AVAILABLE_NOW = "availableNow"
-ALERTS_PER_FILE = 1_000_000
 PROGRESS_SCHEMA = "batch_id long, n long, fraud long, alerts long, caught long"
 
 
@@ -69,8 +67,8 @@ class AlertBatch:
     """What happens to one micro-batch: score, count, keep the positives.
 
     The scored batch, cut down to the columns still needed, is kept while it is counted and
-    its alerts are written, so the source is read and scored once. The alerts, few among many,
-    go into as few files as their number asks for; a batch without any leaves no folder. A
+    its alerts are written, so the source is read and scored once. Only the alerts move, rebalanced
+    into files of an even size after all tasks have filtered; a batch without any leaves no folder. A
     failure stops the query, which retries the batch after a restart; with ``dead_letter_path``
     set, the batch is stored there instead and the stream goes on.
     """
@@ -102,7 +100,7 @@ class AlertBatch:
             log.info("batch %s: %s", batch_id, counts)
             if counts.alerts:
                 alerts = alert_projection(kept, self.detected_at, extra)
-                self.store.write_batch(alerts.coalesce(math.ceil(counts.alerts / ALERTS_PER_FILE)), batch_id)
+                self.store.write_batch(alerts.hint("rebalance"), batch_id)
             else:
                 self.store.drop_batch(batch_id)
             self._record(batch.sparkSession, counts, batch_id)
@@ -151,9 +149,10 @@ def start_all(spark: SparkSession, messages: DataFrame, settings: Settings,
     if score is None:
         log.warning("no model: alerts are off")
     else:
-        on_batch = AlertBatch(score, AlertStore(spark, settings.alerts_path), settings.progress_path)
-        running.append(start_alerts(transactions, on_batch, settings.checkpoint("alerts"),
-                                    settings.alert_trigger))
+        checkpoint = settings.checkpoint("alerts")
+        store = AlertStore(spark, settings.alerts_path, run_id_of(spark, checkpoint))
+        on_batch = AlertBatch(score, store, settings.progress_path)
+        running.append(start_alerts(transactions, on_batch, checkpoint, settings.alert_trigger))
     return running
 
 

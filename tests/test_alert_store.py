@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskstream.operators.alerts import alert_projection
 from riskstream.schema import ALERT_COLUMNS, TRANSACTION_SCHEMA
-from riskstream.sinks.alert_store import AlertStore
+from riskstream.sinks.alert_store import AlertStore, run_id_of
 
 DAY = dt.datetime(2024, 3, 1, 12)
 
@@ -121,3 +121,20 @@ def test_fully_purged_store_stays_usable(spark, tmp_path):
     assert store.purge(DAY) == 1 and store.purge(DAY) == 0 and content(store) == {}
     write(store, [("a", 2)], 1)
     assert content(store) == {"a": 2}
+
+
+def test_purge_revives_no_replaced_alert(spark, tmp_path):
+    store, old = AlertStore(spark, str(tmp_path / "s"), run_id=1), DAY - dt.timedelta(days=40)
+    write(store, [("a", 1)], 0, old)
+    write(store, [("a", 2)], 1, old)
+    write(store, [("b", 3)], 2, old)
+    write(store, [("a", 1)], 0)  # batch 0 again, younger than the batch that replaced it
+    assert content(store) == {}
+    assert store.purge(DAY) == 1 and content(store) == {}  # b's folder is needed by nobody, batch 1 hides batch 0
+    later = DAY + dt.timedelta(days=40)
+    assert store.purge(later) == 2 and content(store, later) == {}
+
+
+def test_a_run_keeps_its_id_over_restarts(spark, tmp_path):
+    first, again = run_id_of(spark, str(tmp_path / "c")), run_id_of(spark, str(tmp_path / "c"))
+    assert first == again and run_id_of(spark, str(tmp_path / "d")) > first
