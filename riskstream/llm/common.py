@@ -3,6 +3,7 @@ connected components, and components of items that meet in buckets."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return stored(df, label)[0]
 
 
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """``written``, dealt by ``column`` into as many buckets as a shuffle has partitions: later joins on
+    that column alone do not move these rows again. The catalog entry goes at once, the files at the
+    end of the session. Rows equal in ``column`` lie in one bucket, which no join splits."""
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_folder(spark, label)
+    name = f"{label}_{uuid.uuid4().hex}"
+    dealt = df.repartition(count, column)
+    dealt.write.bucketBy(count, column).option("path", path).format("parquet").saveAsTable(name)
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    kept = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 def free_name(wanted: str, df: DataFrame) -> str:
     """``wanted``, lengthened until no column of ``df`` has that name in any case."""
     taken = {c.lower() for c in df.columns}

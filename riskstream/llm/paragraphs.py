@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import WORD, bucket_components, free_name, shared_buckets, written
+from riskstream.llm.common import WORD, bucket_components, bucketed, shared_buckets, written
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
@@ -103,17 +103,41 @@ def jaccard(left: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         yield pd.Series([c / (n - c) for c, n in zip(common, sizes, strict=True)], dtype="float64")
 
 
+def normalised(line: Column) -> Column:
+    """A paragraph's words, lower-cased, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(line), "[\\x20\\x09-\\x0D]+", " "))
+
+
 def paragraph_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, pos, words): the paragraphs; ``key`` tells documents with one id apart."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split("text", "\\n")).alias("pos", "line"))
-    blanks = "[\\x20\\x09-\\x0D]+"
+    """(doc_id, slot, key, pos, words): the paragraphs; ``slot`` and ``key`` name the document."""
+    lines = docs.select("doc_id", "slot", "key", F.posexplode(F.split("text", "\\n")).alias("pos", "line"))
     return (lines.where(F.regexp_count("line", F.lit(WORD)) >= LEAST_WORDS)
-            .select("doc_id", "key", "pos", F.regexp_replace(F.lower("line"), blanks, " ").alias("words"))
-            .withColumn("words", F.trim("words")))
+            .select("doc_id", "slot", "key", "pos", normalised(F.col("line")).alias("words")))
+
+
+def in_documents(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Bucketed ``docs`` joined with ``rows`` (slot_, key_, ...), without moving the documents.
+
+    Only the bucket column may be an equality for that, so the second hash is compared as a range.
+    """
+    return docs.join(rows, (docs["slot"] == rows["slot_"]) & docs["key"].between(rows["key_"], rows["key_"]), how)
+
+
+def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pid, words) of the paragraphs ``wanted`` (pid), each read at one of its places."""
+    at = (places.select("pid", "slot", "key", "pos").join(wanted, "pid", "left_semi")
+          .groupBy("pid").agg(F.min(F.struct("slot", "key", "pos")).alias("at")))
+    at = at.groupBy(F.col("at.slot").alias("slot_"), F.col("at.key").alias("key_")).agg(
+        F.map_from_entries(F.collect_set(F.struct("at.pos", "pid"))).alias("found"))
+    lines = (in_documents(docs.select("slot", "key", "text"), at, "inner").dropDuplicates(["slot", "key"])
+             .select("found", F.posexplode(F.split("text", "\\n")).alias("pos", "line")))
+    lines = lines.withColumn("pid", F.col("found")[F.col("pos")]).where("pid is not null")
+    return lines.select("pid", normalised(F.col("line")).alias("words"))
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, removed): for each document that loses paragraphs, the line numbers they have."""
+    """(slot_, key_, removed): for each document that loses paragraphs, the line numbers they have.
+    ``docs`` (doc_id, text, slot, key) is bucketed by slot."""
     bands, rows = tuned_bands()
 
     @F.pandas_udf("array<long>")
@@ -122,10 +146,10 @@ def repeated_places(docs: DataFrame) -> DataFrame:
             yield pd.Series(band_hashes(batch, bands, rows), index=batch.index)
 
     found = paragraph_rows(docs).withColumn("pid", F.xxhash64("words"))
-    places = written(found.select("doc_id", "key", "pos", "pid", banded("words").alias("bands")), "paragraphs")
+    places = written(found.select("doc_id", "slot", "key", "pos", "pid", banded("words").alias("bands")), "paragraphs")
     buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
-    texts = written(found.select("pid", "words").join(wanted, "pid", "left_semi").groupBy("pid").agg(F.first("words").alias("words")), "texts")
+    texts = written(texts_of(docs, places, wanted), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("pid").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
@@ -136,12 +160,13 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     described = written(buckets.join(sketches, "id"), "buckets")
     linked = written(bucket_components(described, verify, may_be_near).withColumnRenamed("id", "pid"), "linked")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "pos")
-    named = (places.select("doc_id", "key", "pos", "pid").join(linked, "pid", "left")
-             .select("doc_id", "key", "pos", F.coalesce("component", "pid").alias("c")))
+    named = (places.select("doc_id", "slot", "key", "pos", "pid").join(linked, "pid", "left")
+             .select("doc_id", "slot", "key", "pos", F.coalesce("component", "pid").alias("c")))
     groups = named.groupBy("c").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = written(groups.select("c", "first"), "groups")
     later = named.join(groups, "c").where(place != F.col("first"))
-    return later.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("removed"))
+    return (later.groupBy(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
+            .agg(F.collect_set("pos").alias("removed")))
 
 
 @F.pandas_udf(T.StringType())
@@ -163,13 +188,17 @@ def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None) -> Dat
     equal in id and text are one document and get equal results. ``counted`` names a column to add:
     the number of lines cut.
     """
-    key, removed = free_name("text_key", docs), free_name("removed", docs)
-    gone = written(repeated_places(docs.select("doc_id", "text")), "removed").toDF("gone_id", "gone_key", "gone_lines")
-    keyed = docs.withColumn(key, F.xxhash64("text"))
-    cut = (keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["gone_id"]) & (keyed[key] == gone["gone_key"]), "left")
-           .withColumn(removed, without_lines(F.when(F.col("gone_lines").isNotNull(), F.col("text")), F.col("gone_lines"))))
-    text = F.when(F.col("gone_lines").isNotNull(), F.col(removed)).otherwise(docs["text"]).alias("text")
-    columns = [text if c == "text" else docs[c] for c in docs.columns]
+    short = F.coalesce(F.length("text") < 2 * LEAST_WORDS - 1, F.lit(True))  # no room for a paragraph
+    packed = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    named = docs.where(~short).select(packed, F.xxhash64("doc_id", "text").alias("slot"), F.xxhash64("text").alias("key"))
+    kept = bucketed(named, "slot", "documents")
+    gone = repeated_places(kept.select("row.doc_id", "row.text", "slot", "key"))
+    cut = in_documents(kept, written(gone, "removed"), "left")
+    cut_text = without_lines(F.when(F.col("removed").isNotNull(), F.col("row.text")), "removed")
+    text = F.when(F.col("removed").isNotNull(), cut_text).otherwise(F.col("row.text")).alias("text")
+    columns = [text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    as_is = [docs[c] for c in docs.columns]
     if counted:
-        columns.append(F.coalesce(F.size("gone_lines"), F.lit(0)).alias(counted))
-    return cut.select(*columns)
+        columns.append(F.coalesce(F.size("removed"), F.lit(0)).alias(counted))
+        as_is.append(F.lit(0).alias(counted))
+    return cut.select(*columns).union(docs.where(short).select(*as_is))
