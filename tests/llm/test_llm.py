@@ -277,6 +277,25 @@ def test_pipeline_stages(spark, small, odd, empty):
         assert stage(spark, odd, small).count() >= 1
 
 
+def test_pipeline_near_copies_by_brute_force(spark, small):
+    words = [f"w{i}" for i in range(400)]
+    planted = [(10_000 + k, " ".join(words[:100 + k] + [f"x{k}"] * (k > 0) + words[101 + k:])) for k in range(0, 300, 9)]
+    planted += [(20_000, "a b c"), (20_001, " A  b\tc"), (20_002, "a b d"), (20_003, None), (20_004, " "), (None, "a b c"),
+                (20_005, " ".join(f"q{i}" for i in range(40))), (20_006, " ".join(f"q{i}" for i in range(32)))]  # 28 of 36
+    planted += [(20_007, " ".join(f"v{i}" for i in range(44))), (20_008, " ".join(f"v{i}" for i in range(36)))]  # 32 of 40
+    docs = common.table(spark, small, "documents").select("doc_id", "text").union(spark.createDataFrame(planted, "doc_id long, text string"))
+    rows = docs.collect()
+    words = [re.sub(r"[\x20\x09-\x0d]+", " ", (r.text or "").lower()).strip(" ").split(" ") for r in rows]
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    wide = [1 for i, j in links if (brute_fingerprint(rows[i].text) ^ brute_fingerprint(rows[j].text)).bit_count() > 4]
+    roots, groups = components(len(rows), links), {}
+    for r, root in zip(rows, roots, strict=True):
+        groups.setdefault(root, []).append((r.doc_id is None, r.doc_id))
+    got = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, small).collect()
+    assert wide and sorted((r.doc_id is None, r.doc_id) for r in got) == sorted(min(g) for g in groups.values())
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (50, 51), (51, 50), (None, 3)], "a long, b long")
     got = {r.id: r.component for r in common.connected_components(links).collect()}
