@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from importlib.resources import files
 from itertools import groupby
 
 import pandas as pd
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Licences and the texts by which they are known, one per wording.
-KNOWN = (
+#: Licences and the notices by which they are known, one per wording.
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
@@ -35,6 +36,41 @@ KNOWN = (
             "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
 )
 
+#: Headings that the short licences stand under, or under none.
+HEADINGS = {
+    "MIT": ("MIT", "MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC", "ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "BSD License", "New BSD License"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+
+
+def wordings(name: str, text: str) -> set[str]:
+    """The whole licence ``text`` as it is found: with and without heading, clause numbers and a line of
+    reserved rights, its links in either scheme, its terms with and without what follows their end."""
+    bodies = {text}
+    if name in HEADINGS:
+        bodies.add(re.sub(r"(?m)^\s*\d\.\s", "* ", text))
+        return {"\n\n".join(part for part in (heading, rights, body) if part)
+                for body in bodies for heading in ("", *HEADINGS[name]) for rights in ("", "All rights reserved.")}
+    terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+    bodies |= {terms, terms + end}
+    return {re.sub("https?://", scheme, body) for body in bodies for scheme in ("http://", "https://")} | bodies
+
+
+def whole_texts() -> Iterator[tuple[str, str]]:
+    """(license, text) of the whole licences in ``license_texts``, files named ``<license>[~<number>].txt``."""
+    for file in sorted(files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            name, text = file.name[:-4].partition("~")[0], file.read_text(encoding="utf-8")
+            yield from ((name, wording) for wording in sorted(wordings(name, text)))
+
+
+#: Notices and whole texts.
+KNOWN = NOTICES + tuple(dict.fromkeys(whole_texts()))
+
 #: Spellings that count as equal, after case and punctuation; each left one becomes the right one.
 EQUIVALENT = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"),

@@ -262,6 +262,20 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan_licenses(odd, known).count() == len(ODD) and licenses.scan_licenses(empty, known).count() == 0
 
 
+def test_whole_licenses(spark):
+    from importlib.resources import files
+    texts = {f.name: f.read_text() for f in files("riskstream.llm").joinpath("license_texts").iterdir()}
+    assert {"MIT.txt", "ISC.txt", "BSD-2-Clause.txt", "BSD-3-Clause.txt", "Apache-2.0.txt", "GPL-2.0-only.txt", "GPL-3.0-only.txt", "MPL-2.0.txt"} <= set(texts)
+    rows = [(n.removesuffix(".txt").partition("~")[0], "Copyright (c) 2021 Some One\n\n" + t) for n, t in texts.items()]
+    rows += [(n, re.sub(r"\bLICENSE\b", "Licence", t.upper()).replace(",", " ;").replace("HTTP:", "HTTPS:")) for n, t in rows]
+    rows += [("MIT", "The MIT Licence (MIT)\n\nCopyright © 1999 A. B.\n\n" + " ".join(texts["MIT.txt"].split())),
+             ("BSD-3-Clause", "BSD 3-Clause License\nCopyright (c) 2000, A\nAll rights reserved.\n\n" + texts["BSD-3-Clause.txt"].replace("1. ", "* ")
+              .replace("2. ", "* ").replace("3. ", "* ")), (None, texts["MIT.txt"].replace("free of charge", "for a fee")), (None, "x " + texts["MPL-2.0.txt"])]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan_licenses(frame, licenses.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
+
+
 def test_pipeline_stages(spark, small, odd, empty):
     columns = common.table(spark, small, "documents").columns
     docs, ids = common.table(spark, small, "documents"), []
