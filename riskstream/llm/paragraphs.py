@@ -1,6 +1,8 @@
 """Substring dedup: repeated and nearly repeated paragraphs by MinHash banding.
 
-A paragraph is a line of at least ``LEAST_WORDS`` words. Equal ones (case and blanks aside) are one
+A paragraph is a line of at least ``LEAST_WORDS`` words, or a run of shorter lines with as many words
+together, up to an empty or a long line, so that text wrapped at any narrow width is one paragraph with
+the same words as in one line. Each line belongs to one paragraph at most. Equal ones (case and blanks aside) are one
 paragraph from the start. MinHash signatures over word shingles are banded so that a pair at the
 threshold meets with the wanted recall; colliding paragraphs are verified by exact Jaccard
 similarity, linked ones form components, and of a component's occurrences the first stays.
@@ -8,22 +10,28 @@ similarity, linked ones form components, and of a component's occurrences the fi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import WORD, bucket_components, bucketed, shared_buckets, written
+from riskstream.llm.common import bucket_components, bucketed, shared_buckets, written
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
 RECALL, FALSE = 0.995, 0.5
 #: Longs of a paragraph's bit sketch.
 SKETCH = 16
+#: Words whose shingles are hashed at a time.
+WORDS = 200_000
+_BLANK = " \t\n\x0b\f\r"
+_BLANKS = re.compile(f"[{_BLANK}]+")
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: float = FALSE) -> tuple[int, int]:
@@ -108,11 +116,60 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def paragraph_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, slot, key, pos, words): the paragraphs; ``slot`` and ``key`` name the document."""
-    lines = docs.select("doc_id", "slot", "key", F.posexplode(F.split("text", "\\n")).alias("pos", "line"))
-    return (lines.where(F.regexp_count("line", F.lit(WORD)) >= LEAST_WORDS)
-            .select("doc_id", "slot", "key", "pos", normalised(F.col("line")).alias("words")))
+def units(text: str, runs: bool) -> Iterator[tuple[int, int, str]]:
+    """(first line, last line, words) of each paragraph of ``text``; without ``runs``, of long lines only."""
+    run: list[str] = []
+    size = at = 0
+
+    def closed(end: int) -> Iterator[tuple[int, int, str]]:
+        if runs and size >= LEAST_WORDS:
+            yield end - len(run), end - 1, " ".join(run)
+
+    for at, line in enumerate(text.split("\n")):
+        words = _BLANKS.sub(" ", line.lower()).strip(" ")
+        count = words.count(" ") + 1 if words else 0
+        if 0 < count < LEAST_WORDS:
+            run.append(words)
+            size += count
+            continue
+        yield from closed(at)
+        run, size = [], 0
+        if count:
+            yield at, at, words
+    yield from closed(at + 1)
+
+
+def paragraph_rows(docs: DataFrame, bands: int, rows: int, runs: bool) -> DataFrame:
+    """(doc_id, slot, key, pos, last, pid, bands): the paragraphs, their lines and band hashes; ``slot``
+    and ``key`` name the document."""
+    schema = T.StructType([*docs.select("doc_id", "slot", "key").schema.fields, T.StructField("pos", T.IntegerType()),
+                           T.StructField("last", T.IntegerType()), T.StructField("pid", T.LongType()),
+                           T.StructField("bands", T.ArrayType(T.LongType()))])
+
+    def packed(batch: pa.RecordBatch, found: list[tuple[int, int, int, str]]) -> pa.RecordBatch:
+        index, pos, last, words = zip(*found, strict=True)
+        pids = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
+        hashes = np.concatenate(band_hashes(pd.Series(words), bands, rows))
+        offsets = np.arange(0, len(hashes) + 1, bands, dtype=np.int32)
+        named = [batch.column(c).take(pa.array(index)) for c in ("doc_id", "slot", "key")]
+        columns = [*named, pa.array(pos, pa.int32()), pa.array(last, pa.int32()), pa.array(pids),
+                   pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))]
+        return pa.RecordBatch.from_arrays(columns, schema.names)
+
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, size = [], 0
+            for at, text in enumerate(batch.column("text").to_pylist()):
+                for pos, last, words in units(text or "", runs):
+                    found.append((at, pos, last, words))
+                    size += words.count(" ") + 1
+                    if size >= WORDS:
+                        yield packed(batch, found)
+                        found, size = [], 0
+            if found:
+                yield packed(batch, found)
+
+    return docs.select("doc_id", "slot", "key", "text").mapInArrow(found_in, schema)
 
 
 def in_documents(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
@@ -123,33 +180,34 @@ def in_documents(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     return docs.join(rows, (docs["slot"] == rows["slot_"]) & docs["key"].between(rows["key_"], rows["key_"]), how)
 
 
-def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame, runs: bool) -> DataFrame:
     """(pid, words) of the paragraphs ``wanted`` (pid), each read at one of its places."""
     at = (places.select("pid", "slot", "key", "pos").join(wanted, "pid", "left_semi")
           .groupBy("pid").agg(F.min(F.struct("slot", "key", "pos")).alias("at")))
     at = at.groupBy(F.col("at.slot").alias("slot_"), F.col("at.key").alias("key_")).agg(
         F.map_from_entries(F.collect_set(F.struct("at.pos", "pid"))).alias("found"))
-    lines = (in_documents(docs.select("slot", "key", "text"), at, "inner").dropDuplicates(["slot", "key"])
-             .select("found", F.posexplode(F.split("text", "\\n")).alias("pos", "line")))
-    lines = lines.withColumn("pid", F.col("found")[F.col("pos")]).where("pid is not null")
-    return lines.select("pid", normalised(F.col("line")).alias("words"))
+    texts = in_documents(docs.select("slot", "key", "text"), at, "inner").dropDuplicates(["slot", "key"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
+                pids = dict(found)
+                rows = [(pids[pos], words) for pos, _, words in units(text, runs) if pos in pids]
+                if rows:
+                    ids, words = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], ["pid", "words"])
 
+    return texts.select("text", "found").mapInArrow(read, "pid long, words string")
 
-def repeated_places(docs: DataFrame) -> DataFrame:
+
+def repeated_places(docs: DataFrame, runs: bool) -> DataFrame:
     """(slot_, key_, removed): for each document that loses paragraphs, the line numbers they have.
     ``docs`` (doc_id, text, slot, key) is bucketed by slot."""
     bands, rows = tuned_bands()
-
-    @F.pandas_udf("array<long>")
-    def banded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(band_hashes(batch, bands, rows), index=batch.index)
-
-    found = paragraph_rows(docs).withColumn("pid", F.xxhash64("words"))
-    places = written(found.select("doc_id", "slot", "key", "pos", "pid", banded("words").alias("bands")), "paragraphs")
+    places = written(paragraph_rows(docs, bands, rows, runs), "paragraphs")
     buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
-    texts = written(texts_of(docs, places, wanted), "texts")
+    texts = written(texts_of(docs, places, wanted, runs), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("pid").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
@@ -160,13 +218,13 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     described = written(buckets.join(sketches, "id"), "buckets")
     linked = written(bucket_components(described, verify, may_be_near).withColumnRenamed("id", "pid"), "linked")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "pos")
-    named = (places.select("doc_id", "slot", "key", "pos", "pid").join(linked, "pid", "left")
-             .select("doc_id", "slot", "key", "pos", F.coalesce("component", "pid").alias("c")))
+    named = (places.select("doc_id", "slot", "key", "pos", "last", "pid").join(linked, "pid", "left")
+             .select("doc_id", "slot", "key", "pos", "last", F.coalesce("component", "pid").alias("c")))
     groups = named.groupBy("c").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = written(groups.select("c", "first"), "groups")
     later = named.join(groups, "c").where(place != F.col("first"))
     return (later.groupBy(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
-            .agg(F.collect_set("pos").alias("removed")))
+            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", "last")))).alias("removed")))
 
 
 @F.pandas_udf(T.StringType())
@@ -180,19 +238,19 @@ def without_lines(text: pd.Series, removed: pd.Series) -> pd.Series:
     return pd.Series([cut(t, r) for t, r in zip(text, removed, strict=True)], dtype="object")
 
 
-def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None) -> DataFrame:
+def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None, runs: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, ...) with every later occurrence of a paragraph cut from ``text``.
 
     First is the smallest doc_id (missing ids last), then the smallest text hash, then line. Every
     row stays, one that loses all its lines with an empty text; a missing text stays missing. Rows
     equal in id and text are one document and get equal results. ``counted`` names a column to add:
-    the number of lines cut.
+    the number of lines cut. Without ``runs`` only single lines of ``LEAST_WORDS`` words are paragraphs.
     """
     short = F.coalesce(F.length("text") < 2 * LEAST_WORDS - 1, F.lit(True))  # no room for a paragraph
     packed = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     named = docs.where(~short).select(packed, F.xxhash64("doc_id", "text").alias("slot"), F.xxhash64("text").alias("key"))
     kept = bucketed(named, "slot", "documents")
-    gone = repeated_places(kept.select("row.doc_id", "row.text", "slot", "key"))
+    gone = repeated_places(kept.select("row.doc_id", "row.text", "slot", "key"), runs)
     cut = in_documents(kept, written(gone, "removed"), "left")
     cut_text = without_lines(F.when(F.col("removed").isNotNull(), F.col("row.text")), "removed")
     text = F.when(F.col("removed").isNotNull(), cut_text).otherwise(F.col("row.text")).alias("text")

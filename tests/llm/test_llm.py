@@ -168,6 +168,22 @@ def test_paragraphs_odd_rows(spark, odd, empty):
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.995
 
 
+def test_wrapped_paragraphs(spark):
+    passage = [f"w{i}" for i in range(60)]
+
+    def wrapped(width: int) -> str:
+        return "\n".join(" ".join(passage[i:i + width]) for i in range(0, 60, width))
+
+    own = [" ".join(f"{c}{i}" for i in range(25)) for c in "abcdef"]
+    rows = [(1, own[0] + "\n" + wrapped(9) + "\n\nend"), (2, own[1] + "\n\n" + wrapped(9) + "\n"), (3, wrapped(13) + "\n" + own[2]),
+            (4, own[3] + "\n" + wrapped(60)), (5, "two words\n \n" + wrapped(7).replace("w59", "new").upper() + "\n\nx\ny"),
+            (6, wrapped(9)[:40] + "\n\n" + own[4]), (7, None), (None, wrapped(1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n) for r in paragraphs.drop_repeated_paragraphs(docs, counted="n").collect()}
+    assert got == {1: (rows[0][1], 0), 2: (own[1] + "\n\n", 7), 3: (own[2], 5), 4: (own[3], 1), 5: ("two words\n \n\nx\ny", 9),
+                   6: (rows[5][1], 0), 7: (None, 0), None: ("", 60)}
+
+
 def brute_tokens(text: str | None, tokenizer=Tokenizer.from_file(VOCABULARY)) -> tuple:  # noqa: B008
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     back = tokenizer.decode(ids, skip_special_tokens=False)
