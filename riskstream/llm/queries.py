@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import bpe, fuzzy_hash, licenses, mixing, paragraphs, quality, simhash, topk, toxicity, url_filter
+from riskstream.llm import (bpe, collocations, fuzzy_hash, licenses, mixing, paragraphs, pii, quality, resampling, simhash, topk,
+                            toxicity, url_filter)
 from riskstream.llm.common import table
 
 #: The rules that every page is judged by.
@@ -61,9 +62,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_simhash, op4_topk, op5_paragraphs, op6_bpe, op7_mixing,
-                            op8_fuzzy_hash, op9_quality, op10_licenses)}
+                            op8_fuzzy_hash, op9_quality, op10_licenses, op11_pii, op12_collocations, op13_resampling)}
 
 
 def _url_sql() -> str:
@@ -154,5 +167,63 @@ SELECT doc_id, license, coalesce(licenses, '') AS licenses, coalesce(n, 0)::BIGI
 FROM docs LEFT JOIN found USING (row_no)"""
 
 
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+  SELECT lang, p, count(*) AS f FROM (
+    SELECT lang, unnest(list_concat(list_transform(w, lambda x: [x]), list_transform(range(1, len(w)), lambda i: w[i:i + 1]),
+                                    list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]))) AS p FROM words) GROUP BY ALL),
+sizes AS (SELECT lang, sum(f) FILTER (WHERE len(p) = 1)::BIGINT AS n FROM phrases GROUP BY lang),
+candidates AS (SELECT * FROM phrases WHERE len(p) >= 2 AND f >= 10),
+longer AS (
+  SELECT lang, q, max(f) AS longest FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS q, f FROM candidates WHERE len(p) = 3) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.p, c.f, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+  JOIN phrases l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN phrases r ON r.lang = c.lang AND r.p = c.p[k + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, f DESC, array_to_string(p, ' ')) AS rank,
+         array_to_string(p, ' ') AS phrase, f AS a, l, r, score::BIGINT AS score
+  FROM lowest LEFT JOIN longer ON longer.lang = lowest.lang AND q = p
+  WHERE longest IS NULL OR 100 * longest < 50 * f)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
+RESAMPLE_SQL = r"""
+WITH bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i::BIGINT], [0::BIGINT,0,0,0,0,0,0,0]), lambda c, x: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, TRUE AS source, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, FALSE, text FROM benchmark),
+words AS (
+  SELECT r, doc_id, source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+features AS (
+  SELECT r, source, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words),
+hashed AS (
+  SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(strlen(f)), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT)),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM features), bits),
+placed AS (SELECT r, source, bucket FROM features JOIN hashed USING (f)),
+totals AS (SELECT count(*) FILTER (WHERE source) AS all_s, count(*) FILTER (WHERE NOT source) AS all_t FROM placed),
+gains AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((count(*) FILTER (WHERE NOT source) + 1)::DOUBLE * (any_value(all_s) + 10000)::DOUBLE
+                          / ((count(*) FILTER (WHERE source) + 1)::DOUBLE * (any_value(all_t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM placed, totals GROUP BY bucket),
+weights AS (SELECT r, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE source GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (r) WHERE source),
+drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM drawn) * 25 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _url_sql(), "op4_topk": TOPK_SQL, "op7_mixing": MIX_SQL, "op10_licenses": _license_sql()}
+    return {"op1_url_filter": _url_sql(), "op4_topk": TOPK_SQL, "op7_mixing": MIX_SQL, "op10_licenses": _license_sql(),
+            "op12_collocations": COLLOCATION_SQL, "op13_resampling": RESAMPLE_SQL}
