@@ -71,6 +71,8 @@ _AFTER_PLAIN = re.compile(rf"(?:{_LABEL}\.){{1,9}}{_END}")
 _AFTER_WORDS = re.compile(rf"(?:{_LABEL}{_DOT_WORD}){{1,9}}{_END}", re.IGNORECASE)
 #: The words for dot that may stand beside a word for at.
 _BESIDE = {"at": {"dot", "punkt"}, "arobase": {"point"}, "arroba": {"punto"}, "klammeraffe": {"punkt"}}
+#: Digit words of a text that may spell an identifier: an ip has four numbers.
+FEW = 4
 #: Code points in which a disguised local part is looked for.
 _REACH = 400
 _DOTTED_IP = re.compile(rf"[0-9]{{1,3}}(?:(?:\.|{_DOT_WORD})[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
@@ -196,18 +198,19 @@ def undo_homoglyphs(of: Rewritten) -> None:
 
 
 def undo_spelled_digits(of: Rewritten) -> None:
-    """Digit words beside another one or a digit become digits; blanks and commas between two of them go."""
+    """Digit words become digits, where there are ``FEW`` at least or a digit stands beside; blanks and commas
+    between two of them go."""
     lowered = of.text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
     found = [m for m in _NUMBERS.finditer(lowered) if not (m.start() and (lowered[m.start() - 1].isalnum() or lowered[m.start() - 1] == "_"))]
     joined = [0 < b.start() - a.end() <= 3 and _BETWEEN_DIGITS.fullmatch(lowered, a.end(), b.start()) is not None
               for a, b in zip(found, found[1:])]
     places = []
-    for m, to_last, to_next in zip(found, [False, *joined], [*joined, False]):
+    for m, to_last in zip(found, [False, *joined]):
         start = m.start()
         beside = any(c in "0123456789" for c in lowered[max(0, start - 2):start] + lowered[m.end():m.end() + 2])
-        if to_last:
+        if to_last and places and places[-1][1] >= start - 3:
             start = places[-1][1]
-        if to_last or to_next or beside:
+        if len(found) >= FEW or beside:
             places.append((start, m.end(), str(_DIGITS[m[0].lower()])))
     of.rewrite(places)
 
