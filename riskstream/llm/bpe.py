@@ -20,6 +20,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.llm.common import free_name, written
+
 #: Code points of a piece encoded at once; of a document that is dealt over tasks, and of its shares.
 PIECE, LONG, PART = 8_192, 65_536, 32_768
 #: Tokens that must agree on each side of a join, and tokens of the first window's sides.
@@ -122,21 +124,23 @@ def joined(parts: list[list[int]], join) -> list[int]:
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """All columns of ``docs`` with ``tokens``: n_tokens, ids_sha256 and decoded_sha256 of each whole
-    text (null: empty), encoded with the file at ``path`` as its own library does without added
-    special tokens, and decoded with special tokens kept. Repeated rows stay.
+    """All columns of ``docs`` with n_tokens, ids_sha256 and decoded_sha256 (longer names where ``docs`` has
+    these) of each whole text (null: empty), encoded with the file at ``path`` as its own library does
+    without added special tokens, and decoded with special tokens kept. Repeated rows stay, an empty
+    table gives an empty one.
 
     Documents up to ``LONG`` code points stay where they are. Of longer ones, equal texts are encoded
     once: their shares are dealt over all tasks, and the ids of one text meet again in one task, which
     is no more than the text's own row was. ``path`` is read on every executor.
     """
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
     kind = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     @F.pandas_udf(kind)
     def encode_whole(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             rows = [codec(path).digests(codec(path).encode(t)) for t in batch]
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.DataFrame(rows, columns=names)
 
     @F.pandas_udf("array<string>")
     def split_shares(texts: pd.Series) -> pd.Series:
@@ -150,21 +154,19 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
     def join_shares(group: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(b, dtype="<i4").tolist() for b in group.sort_values("place")["ids"]]
         found = codec(path).digests(joined(parts, codec(path).join))
-        return pd.DataFrame([(group["key"].iloc[0], *found)], columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return pd.DataFrame([(group["key"].iloc[0], *found)], columns=["key", *names])
 
-    text = F.coalesce("text", F.lit(""))
-    long = F.length(text) > LONG
-    short = docs.where(~long).withColumn("tokens", encode_whole(text))
-    parts = (docs.where(long).select(F.sha2("text", 256).alias("key"), split_shares("text").alias("s"))
-             .select("key", F.posexplode("s").alias("place", "share"))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    long = F.length("text") > LONG
+    short = packed.where(~long).select("row", encode_whole("text").alias("tokens"))
+    whole = written(packed.where(long).withColumn("key", F.sha2("text", 256)), "long")
+    parts = (whole.select("key", split_shares("text").alias("s")).select("key", F.posexplode("s").alias("place", "share"))
              .groupBy("key", "place").agg(F.first("share").alias("share"))
              .select("key", "place", encode_share("share").alias("ids")))
     encoded = parts.groupBy("key").applyInPandas(join_shares, f"key string, {kind}")
-    encoded = encoded.select(F.col("key").alias("tokens_key"), F.struct("n_tokens", "ids_sha256", "decoded_sha256").alias("tokens"))
-    whole = (docs.where(long).withColumn("tokens_of", F.sha2("text", 256))
-             .join(encoded, F.col("tokens_of") == F.col("tokens_key")).drop("tokens_of", "tokens_key"))
-    return short.unionByName(whole)
+    found = whole.join(encoded, "key").select("row", F.struct(*names).alias("tokens"))
+    return short.union(found).select("row.*", *[F.col(f"tokens.{c}").alias(free_name(c, docs)) for c in names])
 
 
 def token_report(docs: DataFrame, path: str) -> DataFrame:
-    return token_digests(docs.select("doc_id", "text"), path).select("doc_id", "tokens.*")
+    return token_digests(docs.select("doc_id", "text"), path).drop("text")

@@ -29,7 +29,7 @@ LEAST, UNITS, INSIDE, MOST = 10, 1_000_000, 50, 2000
 #: A word is frequent from one in so many occurrences on, so there are at most so many of them.
 FREQUENT = 4096
 #: Bytes of text that are counted at a time; buckets per shuffle partition.
-CHUNK, BUCKETS = 8 << 20, 4
+CHUNK, BUCKETS = 4 << 20, 4
 #: Phrases of a language are ranked in so many parts first.
 PARTS = 16
 #: Upper case, ends of pieces, tab.

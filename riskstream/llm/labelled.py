@@ -9,7 +9,7 @@ from riskstream.llm.common import written
 
 #: Labelled rows that a classifier learns from, about this many at most: chosen by a hash of the id.
 SAMPLE = 12_000
-_STEPS = 1 << 20
+_STEPS = (1 << 63) - 1
 
 
 def id_fold(folds: int) -> Column:
@@ -22,6 +22,12 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(id_fold(folds) == fold, F.lit(True))
 
 
+def chosen_by_hash(rows: int, of: int) -> Column:
+    """True for about ``rows`` of ``of`` ids, whatever their number: all bits of a hash are compared."""
+    limit = _STEPS if of <= rows else rows * _STEPS // of
+    return F.xxhash64("doc_id", F.lit("sample")).bitwiseAND(F.lit(_STEPS)) <= F.lit(limit)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int = SAMPLE) -> DataFrame:
     """(doc_id, text, label) of about ``rows`` labelled rows at most, none of them of the held-out fold.
 
@@ -31,7 +37,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     known = (labels.select("doc_id", F.col(label).cast("double").alias("label"))
              .where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull() & (id_fold(folds) != fold))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    share = min(1.0, rows / max(1, known.count()))
-    chosen = written(known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(_STEPS)) < int(share * _STEPS)), "labels")
+    chosen = written(known.where(chosen_by_hash(rows, known.count())), "labels")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return written(texts.join(chosen, "doc_id").select("doc_id", "text", "label"), "sample")

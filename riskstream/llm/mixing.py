@@ -119,13 +119,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken. Documents without words
-    weigh nothing and come as often as their hash says."""
-    plan = mix_plan(docs).select(*[F.col(c).alias(f"mix {c}") for c in ("source", "copies", "cut", "with_cut")])
-    more = F.col("mix copies") + F.coalesce(
-        (F.col("mix hash") < F.col("mix cut")) | ((F.col("mix hash") == F.col("mix cut")) & F.col("mix with_cut")),
-        F.lit(False)).cast("int")
-    return (docs.withColumn("mix hash", mix_hash(F.col("doc_id"), F.col("text")))
-            .join(plan, F.col("source").eqNullSafe(F.col("mix source")), "left")
-            .withColumn("mix copy", F.explode(F.array_repeat(F.lit(1), more)))
-            .select(*[docs[c] for c in docs.columns]))
+    """The mix itself: the rows of ``docs`` (doc_id, text, source, ...), each as often as it is taken, with all
+    their columns, whatever their names. Documents without words weigh nothing and come as often as their
+    hash says. An empty table gives an empty one."""
+    plan = mix_plan(docs).withColumnRenamed("source", "s")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("source").alias("of"),
+                       mix_hash(F.col("doc_id"), F.col("text")).alias("h"))
+    return (rows.join(plan, F.col("of").eqNullSafe(F.col("s")), "left")
+            .select("row", F.explode(F.array_repeat(F.lit(1), _copies(F.col("h")))).alias("copy"))
+            .select("row.*"))

@@ -1,4 +1,4 @@
-"""Substring dedup: repeated and nearly repeated paragraphs by MinHash banding.
+"""Substring dedup: repeated and nearly repeated paragraphs by MinHash banding, and repeated passages.
 
 A paragraph is a line of at least ``LEAST_WORDS`` words, or a run of shorter lines with as many words
 together, up to an empty or a long line, so that text wrapped at any narrow width is one paragraph with
@@ -6,6 +6,12 @@ the same words as in one line. Each line belongs to one paragraph at most. Equal
 paragraph from the start. MinHash signatures over word shingles are banded so that a pair at the
 threshold meets with the wanted recall; colliding paragraphs are verified by exact Jaccard
 similarity, linked ones form components, and of a component's occurrences the first stays.
+
+Passages need no line ends: any ``PASSAGE`` words in a row that stand in an earlier document go too.
+Of each ``PASSAGE`` words the shingle of ``ANCHOR`` words with the least hash is kept (the MinHash of
+that stretch), so documents with such a passage in common share a kept shingle wherever it stands in
+them. Only around shared ones all stretches of ``PASSAGE`` words are hashed and compared, and what is cut
+is their union: the whole common passage.
 """
 
 from __future__ import annotations
@@ -24,14 +30,22 @@ from pyspark.sql import types as T
 from riskstream.llm.common import bucket_components, bucketed, shared_buckets, written
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
+#: Words of a passage, and of the shingles that find it.
+PASSAGE, ANCHOR = 50, 20
 #: Pairs at the threshold that must collide; pairs at half of it that may.
 RECALL, FALSE = 0.995, 0.5
 #: Longs of a paragraph's bit sketch.
 SKETCH = 16
 #: Words whose shingles are hashed at a time.
 WORDS = 200_000
+#: Words whose hashes a task remembers.
+REMEMBERED = 200_000
 _BLANK = " \t\n\x0b\f\r"
 _BLANKS = re.compile(f"[{_BLANK}]+")
+_WORD = re.compile(f"[^{_BLANK}]+")
+#: Odd base of the polynomial hashes, and its inverse, modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: float = FALSE) -> tuple[int, int]:
@@ -116,53 +130,53 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def units(text: str, runs: bool) -> Iterator[tuple[int, int, str]]:
-    """(first line, last line, words) of each paragraph of ``text``; without ``runs``, of long lines only."""
+def units(text: str) -> Iterator[tuple[int, int, str]]:
+    """(number of the first word, words, the words themselves) of each paragraph of ``text``."""
     run: list[str] = []
-    size = at = 0
-
-    def closed(end: int) -> Iterator[tuple[int, int, str]]:
-        if runs and size >= LEAST_WORDS:
-            yield end - len(run), end - 1, " ".join(run)
-
-    for at, line in enumerate(text.split("\n")):
+    start = size = at = 0
+    for line in text.split("\n"):
         words = _BLANKS.sub(" ", line.lower()).strip(" ")
         count = words.count(" ") + 1 if words else 0
         if 0 < count < LEAST_WORDS:
+            start = start if run else at
             run.append(words)
             size += count
+            at += count
             continue
-        yield from closed(at)
+        if size >= LEAST_WORDS:
+            yield start, size, " ".join(run)
         run, size = [], 0
         if count:
-            yield at, at, words
-    yield from closed(at + 1)
+            yield at, count, words
+        at += count
+    if size >= LEAST_WORDS:
+        yield start, size, " ".join(run)
 
 
-def paragraph_rows(docs: DataFrame, bands: int, rows: int, runs: bool) -> DataFrame:
-    """(doc_id, slot, key, pos, last, pid, bands): the paragraphs, their lines and band hashes; ``slot``
+def paragraph_rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(doc_id, slot, key, pos, size, pid, bands): the paragraphs, their words and band hashes; ``slot``
     and ``key`` name the document."""
     schema = T.StructType([*docs.select("doc_id", "slot", "key").schema.fields, T.StructField("pos", T.IntegerType()),
-                           T.StructField("last", T.IntegerType()), T.StructField("pid", T.LongType()),
+                           T.StructField("size", T.IntegerType()), T.StructField("pid", T.LongType()),
                            T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def packed(batch: pa.RecordBatch, found: list[tuple[int, int, int, str]]) -> pa.RecordBatch:
-        index, pos, last, words = zip(*found, strict=True)
+        index, pos, sizes, words = zip(*found, strict=True)
         pids = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
         hashes = np.concatenate(band_hashes(pd.Series(words), bands, rows))
         offsets = np.arange(0, len(hashes) + 1, bands, dtype=np.int32)
         named = [batch.column(c).take(pa.array(index)) for c in ("doc_id", "slot", "key")]
-        columns = [*named, pa.array(pos, pa.int32()), pa.array(last, pa.int32()), pa.array(pids),
+        columns = [*named, pa.array(pos, pa.int32()), pa.array(sizes, pa.int32()), pa.array(pids),
                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))]
         return pa.RecordBatch.from_arrays(columns, schema.names)
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, size = [], 0
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                for pos, last, words in units(text or "", runs):
-                    found.append((at, pos, last, words))
-                    size += words.count(" ") + 1
+            for at, text in enumerate(batch.column("text")):
+                for pos, count, words in units(text.as_py() or ""):
+                    found.append((at, pos, count, words))
+                    size += count
                     if size >= WORDS:
                         yield packed(batch, found)
                         found, size = [], 0
@@ -180,7 +194,7 @@ def in_documents(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     return docs.join(rows, (docs["slot"] == rows["slot_"]) & docs["key"].between(rows["key_"], rows["key_"]), how)
 
 
-def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame, runs: bool) -> DataFrame:
+def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """(pid, words) of the paragraphs ``wanted`` (pid), each read at one of its places."""
     at = (places.select("pid", "slot", "key", "pos").join(wanted, "pid", "left_semi")
           .groupBy("pid").agg(F.min(F.struct("slot", "key", "pos")).alias("at")))
@@ -190,9 +204,9 @@ def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame, runs: bool)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
-                pids = dict(found)
-                rows = [(pids[pos], words) for pos, _, words in units(text, runs) if pos in pids]
+            for text, found in zip(batch.column("text"), batch.column("found"), strict=True):
+                pids = dict(found.as_py())
+                rows = [(pids[pos], words) for pos, _, words in units(text.as_py()) if pos in pids]
                 if rows:
                     ids, words = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], ["pid", "words"])
@@ -200,14 +214,14 @@ def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame, runs: bool)
     return texts.select("text", "found").mapInArrow(read, "pid long, words string")
 
 
-def repeated_places(docs: DataFrame, runs: bool) -> DataFrame:
-    """(slot_, key_, removed): for each document that loses paragraphs, the line numbers they have.
+def repeated_paragraphs(docs: DataFrame) -> DataFrame:
+    """(slot_, key_, paragraphs): for each document that loses paragraphs, the (pos, size) they have.
     ``docs`` (doc_id, text, slot, key) is bucketed by slot."""
     bands, rows = tuned_bands()
-    places = written(paragraph_rows(docs, bands, rows, runs), "paragraphs")
+    places = written(paragraph_rows(docs, bands, rows), "paragraphs")
     buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
-    texts = written(texts_of(docs, places, wanted, runs), "texts")
+    texts = written(texts_of(docs, places, wanted), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("pid").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
@@ -218,45 +232,181 @@ def repeated_places(docs: DataFrame, runs: bool) -> DataFrame:
     described = written(buckets.join(sketches, "id"), "buckets")
     linked = written(bucket_components(described, verify, may_be_near).withColumnRenamed("id", "pid"), "linked")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "pos")
-    named = (places.select("doc_id", "slot", "key", "pos", "last", "pid").join(linked, "pid", "left")
-             .select("doc_id", "slot", "key", "pos", "last", F.coalesce("component", "pid").alias("c")))
+    named = (places.select("doc_id", "slot", "key", "pos", "size", "pid").join(linked, "pid", "left")
+             .select("doc_id", "slot", "key", "pos", "size", F.coalesce("component", "pid").alias("c")))
     groups = named.groupBy("c").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = written(groups.select("c", "first"), "groups")
     later = named.join(groups, "c").where(place != F.col("first"))
     return (later.groupBy(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
-            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", "last")))).alias("removed")))
+            .agg(F.collect_list(F.struct("pos", "size")).alias("paragraphs")))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered while there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+    def of(self, text: str) -> np.ndarray:
+        """One hash per word of ``text``, in any case."""
+        words = text.lower().encode("utf-8", "surrogatepass").split()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-@F.pandas_udf(T.StringType())
-def without_lines(text: pd.Series, removed: pd.Series) -> pd.Series:
-    def cut(t: str | None, gone: np.ndarray | None) -> str | None:
-        if t is None:
-            return None
-        places = set(gone)
-        return "\n".join([line for i, line in enumerate(t.split("\n")) if i not in places])
+def stretch_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each ``width`` words in a row: polynomials out of running sums, modulo 2**64."""
+    if len(hashes) < width:
+        return np.zeros(0, dtype=np.uint64)
+    powers, inverse = (np.cumprod(np.array([1, *[base] * len(hashes)], dtype=np.uint64), dtype=np.uint64) for base in (_BASE, _INVERSE))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)))
+    mixed = (sums[width:] - sums[:-width]) * inverse[:len(hashes) - width + 1]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
 
-    return pd.Series([cut(t, r) for t, r in zip(text, removed, strict=True)], dtype="object")
 
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the shingles with the least hash of some ``PASSAGE`` words in a row."""
+    found = stretch_hashes(hashes, ANCHOR)
+    width = PASSAGE - ANCHOR + 1
+    if len(found) < width:
+        return np.zeros(0, dtype=np.int64), found[:0]
+    least = np.lib.stride_tricks.sliding_window_view(found, width).min(axis=1)
+    padded = np.concatenate((np.zeros(width - 1, dtype=np.uint64), least, np.zeros(width - 1, dtype=np.uint64)))
+    at = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(padded, width).max(axis=1) == found)
+    return at, found[at]
 
-def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None, runs: bool = True) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with every later occurrence of a paragraph cut from ``text``.
 
-    First is the smallest doc_id (missing ids last), then the smallest text hash, then line. Every
-    row stays, one that loses all its lines with an empty text; a missing text stays missing. Rows
+def _lists(batch: pa.RecordBatch, rows: list[int], lists: list[np.ndarray], names: list[str], more: str) -> pa.RecordBatch:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
+    flat = np.concatenate(lists).view(np.int64)
+    return pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(rows, pa.int32())) for c in names],
+                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], [*names, more])
+
+
+def _each(names: list[str], more: str, hashed: Callable[[WordHashes, pa.RecordBatch, int], np.ndarray]):
+    """For ``mapInArrow``: columns ``names`` and the distinct hashes that ``hashed`` finds in each row, if any."""
+
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            rows, lists, size = [], [], 0
+            for at in range(len(batch)):
+                found = np.unique(hashed(words, batch, at))
+                if len(found):
+                    rows.append(at)
+                    lists.append(found)
+                    size += len(found)
+                if size >= WORDS or (at == len(batch) - 1 and rows):
+                    yield _lists(batch, rows, lists, names, more)
+                    rows, lists, size = [], [], 0
+
+    return found_in
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(slot_, key_, whole, passages): for each document with passages of earlier documents, their hashes, or
+    ``whole`` if its text is all that of an earlier one. ``docs`` as for ``repeated_paragraphs``."""
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "slot")
+    names = written(docs.select("doc_id", "slot", "key").distinct(), "places")
+    first = names.groupBy("key").agg(F.min(place).alias("first"))
+    marked = written(names.join(first, "key").select("slot", "key", (place != F.col("first")).alias("whole")), "copies")
+    own = marked.where(~F.col("whole")).select(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
+    texts = in_documents(docs, own, "left_semi").dropDuplicates(["slot", "key"])
+
+    def kept_shingles(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
+        return anchors(words.of(batch.column("text")[at].as_py()))[1]
+
+    kept = written(texts.select("slot", "key", "text").mapInArrow(
+        _each(["slot", "key"], "anchors", kept_shingles), "slot long, key long, anchors array<long>"), "anchors")
+    rows = kept.select("slot", "key", F.explode("anchors").alias("anchor"))
+    shared = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared")
+    around = (rows.join(shared, "anchor").groupBy(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
+              .agg(F.collect_list("anchor").alias("anchors")))
+    texts = in_documents(docs, around, "inner").dropDuplicates(["slot", "key"])
+
+    def near_shared(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
+        hashes = words.of(batch.column("text")[at].as_py())
+        places, found = anchors(hashes)
+        places = places[np.isin(found, batch.column("anchors")[at].values.to_numpy().view(np.uint64))]
+        stretches = stretch_hashes(hashes, PASSAGE)
+        return stretches[covered(places - (PASSAGE - ANCHOR), PASSAGE - ANCHOR + 1, len(stretches))]
+
+    columns = "doc_id {}, slot long, key long, passages array<long>".format(docs.schema["doc_id"].dataType.simpleString())
+    passages = written(texts.select("doc_id", "slot", "key", "text", "anchors").mapInArrow(
+        _each(["doc_id", "slot", "key"], "passages", near_shared), columns), "passages")
+    rows = passages.select("slot", "key", place.alias("place"), F.explode("passages").alias("passage"))
+    repeated = (rows.groupBy("passage").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+                .where("first <> last").select("passage", "first"))
+    later = (rows.join(written(repeated, "repeated"), "passage").where(F.col("place") != F.col("first"))
+             .groupBy("slot", "key").agg(F.collect_list("passage").alias("passages")).withColumn("whole", F.lit(False)))
+    copies = marked.where("whole").select("slot", "key", F.lit(None).cast("array<long>").alias("passages"), "whole")
+    return later.union(copies).select(F.col("slot").alias("slot_"), F.col("key").alias("key_"), "whole", "passages")
+
+
+def covered(starts: np.ndarray, width: int, size: int) -> np.ndarray:
+    """Which of ``size`` places lie in one of the spans of ``width`` that begin at ``starts``."""
+    steps = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(steps, np.clip(starts, 0, size), 1)
+    np.add.at(steps, np.clip(starts + width, 0, size), -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+def without_words(text: str, gone: np.ndarray) -> str:
+    """``text`` without the words marked in ``gone``, each with the blanks up to the next word."""
+    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])))).reshape(-1, 2)
+    return "".join([text[starts[a] if a else 0:starts[b]] for a, b in edges.tolist()])
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]))
+def cut(rows: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    words = WordHashes()
+    for texts, paragraphs, whole, passages in rows:
+        out = []
+        for text, spans, copy, hashes in zip(texts, paragraphs, whole, passages, strict=True):
+            if text is None or (spans is None and hashes is None and not copy):
+                out.append((text, 0))
+                continue
+            known = words.of(text)
+            gone = np.full(len(known), bool(copy) and len(known) >= PASSAGE)
+            for span in spans if spans is not None else ():
+                gone[span["pos"]:span["pos"] + span["size"]] = True
+            if hashes is not None:
+                at = np.flatnonzero(np.isin(stretch_hashes(known, PASSAGE), np.asarray(hashes, dtype=np.int64).view(np.uint64)))
+                gone |= covered(at, PASSAGE, len(gone))
+            out.append((without_words(text, gone) if gone.any() else text, int(gone.sum())))
+        yield pd.DataFrame(out, columns=["text", "n"], index=texts.index)
+
+
+def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with every later occurrence of a paragraph cut from ``text``, and every
+    passage of ``PASSAGE`` words or more that stands word for word in an earlier document.
+
+    First is the smallest doc_id (missing ids last), then the smallest text hash, then the place in the
+    text. Within one document only paragraphs count. A cut goes from a word to the next word that stays.
+    Every row stays, one that loses all its words with an empty text; a missing text stays missing. Rows
     equal in id and text are one document and get equal results. ``counted`` names a column to add:
-    the number of lines cut. Without ``runs`` only single lines of ``LEAST_WORDS`` words are paragraphs.
+    the number of words cut. Further columns are carried along, whatever their names.
     """
     short = F.coalesce(F.length("text") < 2 * LEAST_WORDS - 1, F.lit(True))  # no room for a paragraph
     packed = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     named = docs.where(~short).select(packed, F.xxhash64("doc_id", "text").alias("slot"), F.xxhash64("text").alias("key"))
     kept = bucketed(named, "slot", "documents")
-    gone = repeated_places(kept.select("row.doc_id", "row.text", "slot", "key"), runs)
-    cut = in_documents(kept, written(gone, "removed"), "left")
-    cut_text = without_lines(F.when(F.col("removed").isNotNull(), F.col("row.text")), "removed")
-    text = F.when(F.col("removed").isNotNull(), cut_text).otherwise(F.col("row.text")).alias("text")
+    plain = kept.select("row.doc_id", "row.text", "slot", "key")
+    paragraphs, passages = repeated_paragraphs(plain), repeated_passages(plain)
+    gone = (paragraphs.select("*", F.lit(None).cast("boolean").alias("whole"), F.lit(None).cast("array<long>").alias("passages"))
+            .unionByName(passages, allowMissingColumns=True).groupBy("slot_", "key_")
+            .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("paragraphs", "whole", "passages")]))
+    found = in_documents(kept, written(gone, "removed"), "left")
+    changed = F.col("slot_").isNotNull()
+    found = found.withColumn("cut", cut(F.when(changed, F.col("row.text")), "paragraphs", "whole", "passages"))
+    text = F.when(changed, F.col("cut.text")).otherwise(F.col("row.text")).alias("text")
     columns = [text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     as_is = [docs[c] for c in docs.columns]
     if counted:
-        columns.append(F.coalesce(F.size("removed"), F.lit(0)).alias(counted))
-        as_is.append(F.lit(0).alias(counted))
-    return cut.select(*columns).union(docs.where(short).select(*as_is))
+        columns.append(F.col("cut.n").alias(counted))
+        as_is.append(F.lit(0).cast("long").alias(counted))
+    return found.select(*columns).union(docs.where(short).select(*as_is))

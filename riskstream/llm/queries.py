@@ -36,10 +36,9 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, its text without repeated paragraphs, and how many lines were cut. By single
-    lines, as its brute-force test has it; the pipeline also cuts repeated runs of short lines."""
+    """Per document: doc_id, its text without repeated paragraphs and passages, and how many words were cut."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return paragraphs.drop_repeated_paragraphs(docs, counted="n_removed", runs=False)
+    return paragraphs.drop_repeated_paragraphs(docs, counted="n_removed")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import bucket_components, free_name, shared_buckets, written
+from riskstream.llm.common import bucket_components, shared_buckets, written
 
 SHINGLE, LIMIT, SEED, BLOCKS = 4, 4, 42, 6
 #: Reference fingerprints: 64-bit words from the generator of Steele et al. (SplitMix64).
@@ -143,18 +143,23 @@ def simhash_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of each component: the one with the smallest doc_id, of several with that id the one
-    with the smallest text digest, and of several equal in both any one."""
-    key = free_name("text_digest", docs)
-    component = free_name("component_id", docs)
-    keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
-    rows = written(keyed.select("doc_id", key, fingerprint(F.coalesce("text", F.lit(""))).alias("fp")), "simhash")
-    distinct = written(rows.groupBy("fp").agg(F.count("*").alias("n")), "simhash")
-    linked = fingerprint_components(distinct.select("fp"))
-    kept = (rows.join(linked.withColumnRenamed("id", "fp"), "fp", "left")
-            .groupBy(F.coalesce("component", "fp").alias(component))
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col(key))).alias("k"))
-            .select(F.col("k.doc_id").alias("kept_id"), F.col(f"k.{key}").alias("kept_digest")))
+    """One row of each component: the one with the smallest doc_id (missing ids last), of several with that
+    id the one with the smallest text digest, and of several equal in both any one.
+
+    Fingerprints link as in ``simhash_components``; missing texts are empty ones. An empty table gives an
+    empty one, further columns are carried along, whatever their names.
+    """
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id",
+                         F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    rows = written(docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"),
+                               fingerprint(F.coalesce("text", F.lit(""))).alias("fp")), "simhash")
+    named = rows.groupBy("fp", "doc_id", "digest").agg(F.count("*").alias("n"))
+    linked = fingerprint_components(rows.select("fp").distinct())
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "n")).alias("k")
+    kept = (named.join(linked.withColumnRenamed("id", "fp"), "fp", "left").groupBy(F.coalesce("component", "fp").alias("c")).agg(least)
+            .select(F.col("k.doc_id").alias("kept_id"), F.col("k.digest").alias("kept_digest"), F.col("k.n").alias("n")))
     kept = written(kept, "simhash")
-    return (keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed[key] == kept["kept_digest"]), "left_semi")
-            .dropDuplicates(["doc_id", key]).drop(key))
+    found = packed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")))
+    single = found.where("n = 1").select("row.*")
+    several = found.where("n > 1").groupBy("doc_id", "digest").agg(F.first("row").alias("row")).select("row.*")
+    return single.union(several)

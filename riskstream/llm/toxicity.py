@@ -125,9 +125,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fold:
     rate = sample.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
     if not 0 < rate < 1:
         return ToxicityModel({}, None, None, rate)
-    lexicon = learn_lexicon(sample)
-    rows = _with_features(sample, lexicon, "f").select("doc_id", "label", array_to_vector("f").alias("features"))
-    rows = written(rows, "features").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATE)))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATE)).alias("part")
+    lexicon = learn_lexicon(sample.where(part != 0))  # rows that calibrate are new to the lexicon too
+    rows = _with_features(sample, lexicon, "f").select("doc_id", "label", part, array_to_vector("f").alias("features"))
+    rows = written(rows, "features")
     grow, check = rows.where("part <> 0"), rows.where("part = 0")
     if grow.select("label").distinct().count() < 2:
         return ToxicityModel({}, None, None, rate)
@@ -158,7 +159,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str) -> DataFram
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) per row of ``docs`` (doc_id, text)."""
+    """(doc_id, held_out, score, predicted) per row of ``docs`` (doc_id, text). Repeated rows stay and score alike,
+    missing texts are empty ones, an empty table gives no rows, further columns are not looked at."""
     rows = docs.select("doc_id", "text")
     scored = score_toxicity(rows, train_toxicity(rows, labels), "score")
     return scored.select("doc_id", held_out(FOLDS, FOLD).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

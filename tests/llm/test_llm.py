@@ -137,23 +137,95 @@ def test_topk_odd_vectors(spark):
     assert topk.top_k(frame.limit(0), frame).count() == topk.top_k(frame, frame.limit(0)).count() == 0
 
 
+def brute_paragraphs(text: str) -> list[tuple[int, int, str]]:
+    """(first word, end, words) of lines of 20 or more words, and of runs of shorter ones with as many."""
+    out, run, at = [], [], 0
+    for line in [*text.split("\n"), ""]:
+        words = re.findall(r"[^\x20\x09-\x0d]+", line.lower())
+        if 0 < len(words) < 20:
+            run += words
+        else:
+            if len(run) >= 20:
+                out.append((at - len(run), at, " ".join(run)))
+            run = []
+            if words:
+                out.append((at, at + len(words), " ".join(words)))
+        at += len(words)
+    return out
+
+
+def brute_cuts(rows) -> dict:
+    """(doc_id, text) -> (text left, words cut): paragraphs by all pairs, passages by all 50 words in a row."""
+    rows = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is None, r[0] or 0))
+    places = [(n, a, b, words) for n, (_, text) in enumerate(rows) for a, b, words in brute_paragraphs(text)]
+    texts = sorted({p[3] for p in places})
+    sets = [{tuple(t.split(" ")[i:i + 5]) for i in range(max(1, len(t.split(" ")) - 4))} for t in texts]
+    links = []
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * min(len(sets[i]), len(sets[j])) >= 4 * max(len(sets[i]), len(sets[j])):
+                common = len(sets[i] & sets[j])
+                if 5 * common >= 4 * (len(sets[i]) + len(sets[j]) - common):
+                    links.append((i, j))
+    root = dict(zip(texts, components(len(texts), links), strict=True))
+    words = [re.findall(r"[^\x20\x09-\x0d]+", text.lower()) for _, text in rows]
+    gone, seen, first = [set() for _ in rows], set(), {}
+    for n, a, b, text in places:
+        if root[text] in seen:
+            gone[n] |= set(range(a, b))
+        seen.add(root[text])
+    for n, known in enumerate(words):
+        for i in range(len(known) - 49):
+            if first.setdefault(tuple(known[i:i + 50]), n) != n:
+                gone[n] |= set(range(i, i + 50))
+    out = {}
+    for (doc_id, text), lost in zip(rows, gone, strict=True):
+        left = re.split(r"(?<![^\x20\x09-\x0d])(?=[^\x20\x09-\x0d])", text)
+        lead = left.pop(0) if left and not left[0].strip(" \t\n\r\x0b\f") else ""
+        out[(doc_id, text)] = (text, 0) if not lost else (("" if 0 in lost else lead) + "".join(w for i, w in enumerate(left) if i not in lost), len(lost))
+    return out
+
+
 def test_paragraphs_by_brute_force(spark, small):
-    docs = common.table(spark, small, "documents").orderBy("doc_id").collect()
-    places = [(r.doc_id, n, " ".join(line.lower().split())) for r in docs for n, line in enumerate((r.text or "").split("\n"))
-              if len(line.split()) >= paragraphs.LEAST_WORDS]
-    texts = sorted({p[2] for p in places})
-    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
-    roots = components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
-    seen, removed = set(), {}
-    for doc_id, n, text in places:
-        root = roots[texts.index(text)]
-        if root in seen:
-            removed.setdefault(doc_id, set()).add(n)
-        seen.add(root)
-    got = {r.doc_id: r for r in queries.op5_paragraphs(spark, small).collect()}
-    for r in docs:
-        lines = [line for n, line in enumerate(r.text.split("\n")) if n not in removed.get(r.doc_id, ())]
-        assert got[r.doc_id].text == "\n".join(lines) and got[r.doc_id].n_removed == len(removed.get(r.doc_id, ()))
+    docs = common.table(spark, small, "documents").select("doc_id", "text").collect()
+    want = brute_cuts(docs)
+    got = {(r.doc_id, r.text, r.n_removed) for r in queries.op5_paragraphs(spark, small).collect()}
+    assert got == {(r.doc_id, *want[(r.doc_id, r.text)]) for r in docs}
+    assert sum(n for _, _, n in got) > 1000
+
+
+def test_passages_by_brute_force(spark):
+    """Passages of 45 to 60 words planted anywhere: inside lines, across them, in several documents, at the ends."""
+    import random
+    draw = random.Random(8)
+    passages = [[f"p{n}w{i}" for i in range(draw.choice((45, 49, 50, 51, 60)))] for n in range(12)]
+    rows = []
+    for i in range(120):
+        words = [f"d{i}w{j}" for j in range(draw.randrange(120))]
+        for passage in draw.sample(passages, draw.randrange(3)):
+            at, cut = draw.randrange(len(words) + 1), draw.choice((0, 0, 0, 3))
+            words[at:at] = [w.upper() if draw.random() < 0.05 else w for w in passage[cut:]]
+        rows.append((i, "".join(w + draw.choice((" ", " ", " ", " ", " ", " ", "\n", "  \n\n\t")) for w in words)))
+    rows += [*rows[:5], (None, rows[8][1] + " end"), (900, None), (901, "w " * 300), (902, "w " * 200)]
+    rows += [(500 + i, text) for i, (_, text) in enumerate(rows[:9])]
+    want = brute_cuts(rows)
+    got = paragraphs.drop_repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"), counted="n").collect()
+    expected = [(r[0], *(want[r] if r[1] is not None else (None, 0))) for r in rows]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected)) and sum(r[2] for r in expected) > 1500
+
+
+@pytest.mark.parametrize("length", [50, 51, 80])
+def test_passages_share_an_anchor(length):
+    """Wherever a passage stands, documents that have it in common share a kept shingle that lies in it."""
+    import random
+    draw = random.Random(length)
+    hashes = paragraphs.WordHashes()
+    for n in range(300):
+        passage = " ".join(f"p{n}w{i}" for i in range(length))
+        texts = [" ".join(f"{side}{n}w{i}" for i in range(draw.randrange(70))) + " " + passage + " "
+                 + " ".join(f"{side}{n}v{i}" for i in range(draw.randrange(70))) for side in "ab"]
+        one, other = (paragraphs.anchors(hashes.of(t))[1] for t in texts)
+        assert set(one.tolist()) & set(other.tolist())
 
 
 def test_paragraphs_odd_rows(spark, odd, empty):
@@ -166,6 +238,11 @@ def test_paragraphs_odd_rows(spark, odd, empty):
     assert cut.count() == len(ODD) + 2 and paragraphs.drop_repeated_paragraphs(empty).count() == 0
     bands, rows = paragraphs.tuned_bands()
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.995
+    names = ["slot", "key", "row", "cut", "slot_", "key_", "whole", "passages", "paragraphs", "anchors"]
+    clashing = odd.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    got = paragraphs.drop_repeated_paragraphs(clashing, counted="n")
+    assert got.columns == [*clashing.columns, "n"] and got.count() == len(ODD)
+    assert got.select(*names).distinct().collect() == [tuple(range(len(names)))]
 
 
 def test_wrapped_paragraphs(spark):
@@ -174,14 +251,14 @@ def test_wrapped_paragraphs(spark):
     def wrapped(width: int) -> str:
         return "\n".join(" ".join(passage[i:i + width]) for i in range(0, 60, width))
 
-    own = [" ".join(f"{c}{i}" for i in range(25)) for c in "abcdef"]
+    *own, tail = [" ".join(f"{c}{i}" for i in range(25)) for c in "abcdefg"]
     rows = [(1, own[0] + "\n" + wrapped(9) + "\n\nend"), (2, own[1] + "\n\n" + wrapped(9) + "\n"), (3, wrapped(13) + "\n" + own[2]),
             (4, own[3] + "\n" + wrapped(60)), (5, "two words\n \n" + wrapped(7).replace("w59", "new").upper() + "\n\nx\ny"),
-            (6, wrapped(9)[:40] + "\n\n" + own[4]), (7, None), (None, wrapped(1))]
+            (6, wrapped(9)[:40] + "\n\n" + own[4]), (7, None), (8, own[5] + " " + wrapped(8) + " " + tail), (None, wrapped(1))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n) for r in paragraphs.drop_repeated_paragraphs(docs, counted="n").collect()}
-    assert got == {1: (rows[0][1], 0), 2: (own[1] + "\n\n", 7), 3: (own[2], 5), 4: (own[3], 1), 5: ("two words\n \n\nx\ny", 9),
-                   6: (rows[5][1], 0), 7: (None, 0), None: ("", 60)}
+    assert got == {1: (rows[0][1], 0), 2: (own[1] + "\n\n", 60), 3: (own[2], 60), 4: (own[3] + "\n", 60), 5: ("two words\n \nx\ny", 60),
+                   6: (rows[5][1], 0), 7: (None, 0), 8: (own[5] + " " + tail, 60), None: ("", 60)}
 
 
 def brute_tokens(text: str | None, tokenizer=Tokenizer.from_file(VOCABULARY)) -> tuple:  # noqa: B008
@@ -307,23 +384,40 @@ def test_pipeline_stages(spark, small, odd, empty):
         assert stage(spark, odd, small).count() >= 1
 
 
-def test_pipeline_near_copies_by_brute_force(spark, small):
+def test_pipeline_near_copies_by_brute_force(spark, small, odd):
     words = [f"w{i}" for i in range(400)]
     planted = [(10_000 + k, " ".join(words[:100 + k] + [f"x{k}"] * (k > 0) + words[101 + k:])) for k in range(0, 300, 9)]
-    planted += [(20_000, "a b c"), (20_001, " A  b\tc"), (20_002, "a b d"), (20_003, None), (20_004, " "), (None, "a b c"),
-                (20_005, " ".join(f"q{i}" for i in range(40))), (20_006, " ".join(f"q{i}" for i in range(32)))]  # 28 of 36
-    planted += [(20_007, " ".join(f"v{i}" for i in range(44))), (20_008, " ".join(f"v{i}" for i in range(36)))]  # 32 of 40
+    planted += [(20_000, "a b c"), (20_001, " A  b\tc"), (20_002, "a b d"), (20_003, None), (20_004, " "), (None, "a b c"), (20_000, "a b c")]
     docs = common.table(spark, small, "documents").select("doc_id", "text").union(spark.createDataFrame(planted, "doc_id long, text string"))
     rows = docs.collect()
-    words = [re.sub(r"[\x20\x09-\x0d]+", " ", (r.text or "").lower()).strip(" ").split(" ") for r in rows]
-    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
-    links = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    wide = [1 for i, j in links if (brute_fingerprint(rows[i].text) ^ brute_fingerprint(rows[j].text)).bit_count() > 4]
-    roots, groups = components(len(rows), links), {}
+    fps = [brute_fingerprint(r.text) for r in rows]
+    roots = components(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
+    groups = {}
     for r, root in zip(rows, roots, strict=True):
         groups.setdefault(root, []).append((r.doc_id is None, r.doc_id))
-    got = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, small).collect()
-    assert wide and sorted((r.doc_id is None, r.doc_id) for r in got) == sorted(min(g) for g in groups.values())
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    assert sorted((r.doc_id is None, r.doc_id) for r in stage(spark, docs, small).collect()) == sorted(min(g) for g in groups.values())
+    names = ["row", "doc_id_", "digest", "fp", "n", "kept_id", "component"]
+    clashing = odd.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    got = stage(spark, clashing, small)
+    assert got.columns == clashing.columns and got.select(*names).distinct().collect() == [tuple(range(len(names)))]
+
+
+def test_stages_carry_columns_of_any_name(spark, small, odd):
+    names = ["tokens", "n_tokens", "tokens_key", "key", "row", "h", "s", "of", "copy", "mix source", "mix hash", "ids_sha256", "toxicity_p"]
+    clashing = odd.select("doc_id", "text", "lang", "source", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, clashing, small)
+        assert got.columns[:len(clashing.columns)] == clashing.columns, name
+        assert len(set(got.columns)) == len(got.columns) == len(clashing.columns) + 3 * (name == "bpe")
+        assert got.select(*[f"`{c}`" for c in names]).distinct().collect() in ([tuple(range(len(names)))], []), name
+
+
+def test_sample_of_any_number_of_labels(spark):
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    for rows, of, want in ((12_000, 10_000, 20_000), (5_000, 20_000, 5_000), (12_000, 10 ** 13, 0)):
+        assert abs(ids.where(labelled.chosen_by_hash(rows, of)).count() - want) < 300
+    assert spark.range(1).select(F.lit(1).alias("doc_id")).where(labelled.chosen_by_hash(2, 2)).count() == 1
 
 
 def test_components_of_a_path(spark):
