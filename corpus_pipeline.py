@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import bpe, mixing, near_copies, paragraphs, toxicity
+from riskstream.llm import bpe, mixing, paragraphs, simhash, toxicity
 from riskstream.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,13 +26,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id: five-word shingles with
-    a Jaccard similarity of 0.8 or more, not the fingerprints within 4 bits of ``op3_simhash``."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group of near copies, the one with the smallest doc_id: four-word SimHash
+    fingerprints within 4 bits, as in ``op3_simhash``."""
+    return simhash.drop_near_copies(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of (nearly) equal paragraphs are cut from the texts; n_chars follows."""
+    """Later occurrences of (nearly) equal paragraphs and of passages are cut from the texts; n_chars follows."""
     cut = paragraphs.drop_repeated_paragraphs(docs)
     if "n_chars" not in cut.columns:
         return cut
@@ -46,8 +46,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the number of tokens and the digests of the ids and of the decoded text."""
-    done = bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return done.select(*[c for c in docs.columns], "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256")
+    return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
