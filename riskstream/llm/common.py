@@ -27,9 +27,34 @@ def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = fresh_folder(spark, label)
     df.write.parquet(path)
+    _remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
-    return spark.read.schema(df.schema).parquet(path), path
+    for made in _scratch[-1:]:
+        made.append(path)
+
+
+#: The tables written inside each running ``result_only``.
+_scratch: list[list[str]] = []
+
+
+def result_only(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``written(make())``; the tables that ``make`` has written on the way are removed once that is done."""
+    _scratch.append([])
+    try:
+        df = make()
+        spark, path = df.sparkSession, fresh_folder(df.sparkSession, label)
+        df.write.parquet(path)
+    finally:
+        made = _scratch.pop()
+    for folder in made:
+        remove_folder(spark, folder)
+    _remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -46,8 +71,7 @@ def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
     name = f"{label}_{uuid.uuid4().hex}"
     dealt = df.repartition(count, column)
     dealt.write.bucketBy(count, column).option("path", path).format("parquet").saveAsTable(name)
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    _remove_at_exit(spark, path)
     kept = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return kept

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import bucket_components, bucketed, shared_buckets, written
+from riskstream.llm.common import bucket_components, bucketed, result_only, shared_buckets, written
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Words of a passage, and of the shingles that find it.
@@ -214,11 +214,20 @@ def texts_of(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame
     return texts.select("text", "found").mapInArrow(read, "pid long, words string")
 
 
-def repeated_paragraphs(docs: DataFrame) -> DataFrame:
+def first_copies(docs: DataFrame) -> DataFrame:
+    """(slot, key, whole) of each document of ``docs``: ``whole`` if an earlier one has the same text."""
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "slot")
+    names = written(docs.select("doc_id", "slot", "key").distinct(), "places")
+    first = names.groupBy("key").agg(F.min(place).alias("first"))
+    return written(names.join(first, "key").select("slot", "key", (place != F.col("first")).alias("whole")), "copies")
+
+
+def repeated_paragraphs(docs: DataFrame, own: DataFrame) -> DataFrame:
     """(slot_, key_, paragraphs): for each document that loses paragraphs, the (pos, size) they have.
-    ``docs`` (doc_id, text, slot, key) is bucketed by slot."""
+    ``docs`` (doc_id, text, slot, key) is bucketed by slot; looked at are those of ``own`` (slot_, key_)."""
     bands, rows = tuned_bands()
-    places = written(paragraph_rows(docs, bands, rows), "paragraphs")
+    texts = in_documents(docs, own, "left_semi").dropDuplicates(["slot", "key"])
+    places = written(paragraph_rows(texts, bands, rows), "paragraphs")
     buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
     texts = written(texts_of(docs, places, wanted), "texts")
@@ -256,15 +265,40 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+def _powers(base: int, count: int) -> np.ndarray:
+    """base ** 0, 1, ... modulo 2**64, at least ``count`` of them; remembered, and doubled when they run out."""
+    known = _KNOWN_POWERS.get(base)
+    if known is None or len(known) < count:
+        known = np.full(max(1 << 12, 2 * count), base, dtype=np.uint64)
+        known[0] = 1
+        known = _KNOWN_POWERS[base] = np.cumprod(known, dtype=np.uint64)
+    return known
+
+
+_KNOWN_POWERS: dict[int, np.ndarray] = {}
+
+
 def stretch_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of each ``width`` words in a row: polynomials out of running sums, modulo 2**64."""
-    if len(hashes) < width:
+    count = len(hashes)
+    if count < width:
         return np.zeros(0, dtype=np.uint64)
-    powers, inverse = (np.cumprod(np.array([1, *[base] * len(hashes)], dtype=np.uint64), dtype=np.uint64) for base in (_BASE, _INVERSE))
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)))
-    mixed = (sums[width:] - sums[:-width]) * inverse[:len(hashes) - width + 1]
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return mixed ^ (mixed >> np.uint64(32))
+    sums = np.zeros(count + 1, dtype=np.uint64)
+    np.cumsum(hashes * _powers(_BASE, count)[:count], dtype=np.uint64, out=sums[1:])
+    mixed = (sums[width:] - sums[:-width]) * _powers(_INVERSE, count)[:count - width + 1]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed
+
+
+def window_best(values: np.ndarray, width: int, better: np.ufunc) -> np.ndarray:
+    """``better`` (minimum or maximum) of each ``width`` neighbours, by windows of doubled width."""
+    size, found = 1, values
+    while 2 * size <= width:
+        found = better(found[:-size], found[size:])
+        size *= 2
+    return found if size == width else better(found[:len(found) - (width - size)], found[width - size:])
 
 
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,9 +307,9 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     width = PASSAGE - ANCHOR + 1
     if len(found) < width:
         return np.zeros(0, dtype=np.int64), found[:0]
-    least = np.lib.stride_tricks.sliding_window_view(found, width).min(axis=1)
-    padded = np.concatenate((np.zeros(width - 1, dtype=np.uint64), least, np.zeros(width - 1, dtype=np.uint64)))
-    at = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(padded, width).max(axis=1) == found)
+    padded = np.zeros(len(found) + width - 1, dtype=np.uint64)
+    padded[width - 1:len(found)] = window_best(found, width, np.minimum)
+    at = np.flatnonzero(window_best(padded, width, np.maximum) == found)
     return at, found[at]
 
 
@@ -306,26 +340,20 @@ def _each(names: list[str], more: str, hashed: Callable[[WordHashes, pa.RecordBa
     return found_in
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(slot_, key_, whole, passages): for each document with passages of earlier documents, their hashes, or
-    ``whole`` if its text is all that of an earlier one. ``docs`` as for ``repeated_paragraphs``."""
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "slot")
-    names = written(docs.select("doc_id", "slot", "key").distinct(), "places")
-    first = names.groupBy("key").agg(F.min(place).alias("first"))
-    marked = written(names.join(first, "key").select("slot", "key", (place != F.col("first")).alias("whole")), "copies")
-    own = marked.where(~F.col("whole")).select(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
+def repeated_passages(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """(slot_, key_, passages): for each document with passages of earlier documents, their hashes.
+    Arguments as for ``repeated_paragraphs``."""
     texts = in_documents(docs, own, "left_semi").dropDuplicates(["slot", "key"])
 
     def kept_shingles(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
         return anchors(words.of(batch.column("text")[at].as_py()))[1]
 
-    kept = written(texts.select("slot", "key", "text").mapInArrow(
-        _each(["slot", "key"], "anchors", kept_shingles), "slot long, key long, anchors array<long>"), "anchors")
-    rows = kept.select("slot", "key", F.explode("anchors").alias("anchor"))
+    kept = written(texts.select("slot", "text").mapInArrow(
+        _each(["slot"], "anchors", kept_shingles), "slot long, anchors array<long>"), "anchors")
+    rows = kept.select("slot", F.explode("anchors").alias("anchor"))
     shared = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared")
-    around = (rows.join(shared, "anchor").groupBy(F.col("slot").alias("slot_"), F.col("key").alias("key_"))
-              .agg(F.collect_list("anchor").alias("anchors")))
-    texts = in_documents(docs, around, "inner").dropDuplicates(["slot", "key"])
+    around = rows.join(shared, "anchor").groupBy("slot").agg(F.collect_list("anchor").alias("anchors"))
+    texts = in_documents(docs, own.join(around, F.col("slot_") == F.col("slot")).drop("slot"), "inner").dropDuplicates(["slot", "key"])
 
     def near_shared(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
         hashes = words.of(batch.column("text")[at].as_py())
@@ -334,16 +362,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         stretches = stretch_hashes(hashes, PASSAGE)
         return stretches[covered(places - (PASSAGE - ANCHOR), PASSAGE - ANCHOR + 1, len(stretches))]
 
-    columns = "doc_id {}, slot long, key long, passages array<long>".format(docs.schema["doc_id"].dataType.simpleString())
-    passages = written(texts.select("doc_id", "slot", "key", "text", "anchors").mapInArrow(
-        _each(["doc_id", "slot", "key"], "passages", near_shared), columns), "passages")
-    rows = passages.select("slot", "key", place.alias("place"), F.explode("passages").alias("passage"))
+    columns = "doc_id {}, slot long, passages array<long>".format(docs.schema["doc_id"].dataType.simpleString())
+    passages = written(texts.select("doc_id", "slot", "text", "anchors").mapInArrow(
+        _each(["doc_id", "slot"], "passages", near_shared), columns), "passages")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "slot").alias("place")
+    rows = passages.select(place, F.explode("passages").alias("passage"))
     repeated = (rows.groupBy("passage").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                 .where("first <> last").select("passage", "first"))
     later = (rows.join(written(repeated, "repeated"), "passage").where(F.col("place") != F.col("first"))
-             .groupBy("slot", "key").agg(F.collect_list("passage").alias("passages")).withColumn("whole", F.lit(False)))
-    copies = marked.where("whole").select("slot", "key", F.lit(None).cast("array<long>").alias("passages"), "whole")
-    return later.union(copies).select(F.col("slot").alias("slot_"), F.col("key").alias("key_"), "whole", "passages")
+             .groupBy("place.slot").agg(F.collect_list("passage").alias("passages")))
+    return own.join(later, F.col("slot_") == F.col("slot")).select("slot_", "key_", "passages")
 
 
 def covered(starts: np.ndarray, width: int, size: int) -> np.ndarray:
@@ -370,12 +398,14 @@ def cut(rows: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             if text is None or (spans is None and hashes is None and not copy):
                 out.append((text, 0))
                 continue
-            known = words.of(text)
-            gone = np.full(len(known), bool(copy) and len(known) >= PASSAGE)
+            gone = np.zeros(len(text.encode("utf-8", "surrogatepass").split()), dtype=bool)
+            if copy:
+                gone |= len(gone) >= PASSAGE
+                spans = [{"pos": pos, "size": size} for pos, size, _ in units(text)] if len(gone) < PASSAGE else []
             for span in spans if spans is not None else ():
                 gone[span["pos"]:span["pos"] + span["size"]] = True
             if hashes is not None:
-                at = np.flatnonzero(np.isin(stretch_hashes(known, PASSAGE), np.asarray(hashes, dtype=np.int64).view(np.uint64)))
+                at = np.flatnonzero(np.isin(stretch_hashes(words.of(text), PASSAGE), np.asarray(hashes, dtype=np.int64).view(np.uint64)))
                 gone |= covered(at, PASSAGE, len(gone))
             out.append((without_words(text, gone) if gone.any() else text, int(gone.sum())))
         yield pd.DataFrame(out, columns=["text", "n"], index=texts.index)
@@ -396,9 +426,11 @@ def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None) -> Dat
     named = docs.where(~short).select(packed, F.xxhash64("doc_id", "text").alias("slot"), F.xxhash64("text").alias("key"))
     kept = bucketed(named, "slot", "documents")
     plain = kept.select("row.doc_id", "row.text", "slot", "key")
-    paragraphs, passages = repeated_paragraphs(plain), repeated_passages(plain)
-    gone = (paragraphs.select("*", F.lit(None).cast("boolean").alias("whole"), F.lit(None).cast("array<long>").alias("passages"))
-            .unionByName(passages, allowMissingColumns=True).groupBy("slot_", "key_")
+    named = first_copies(plain).withColumnsRenamed({"slot": "slot_", "key": "key_"})
+    own = named.where(~F.col("whole")).select("slot_", "key_")
+    gone = (result_only(lambda: repeated_paragraphs(plain, own), "gone")
+            .unionByName(result_only(lambda: repeated_passages(plain, own), "gone"), allowMissingColumns=True)
+            .unionByName(named.where("whole"), allowMissingColumns=True).groupBy("slot_", "key_")
             .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("paragraphs", "whole", "passages")]))
     found = in_documents(kept, written(gone, "removed"), "left")
     changed = F.col("slot_").isNotNull()
