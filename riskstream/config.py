@@ -23,6 +23,8 @@ class Settings:
     alert_trigger: str = "2 seconds"
     lake_root: str = "data"
     retention_days: int = 30
+    dead_letters: bool = False  # keep batches that fail and go on, instead of stopping
+    drop_resent_within: str | None = None  # drop messages that come again within this time, as "1 hour"
     object_store_endpoint: str | None = None
     object_store_key: str | None = None
     object_store_secret: str | None = field(default=None, repr=False)
@@ -36,6 +38,7 @@ class Settings:
             "lake_root": "LAKE_ROOT",
             "archive_trigger": "ARCHIVE_TRIGGER",
             "alert_trigger": "ALERT_TRIGGER",
+            "drop_resent_within": "DROP_RESENT_WITHIN",
             "object_store_endpoint": "S3_ENDPOINT",
             "object_store_key": "S3_ACCESS_KEY",
             "object_store_secret": "S3_SECRET_KEY",
@@ -47,6 +50,7 @@ class Settings:
         }
         found: dict = {k: env[v] for k, v in names.items() if env.get(v)}
         found.update({k: int(env[v]) for k, v in numbers.items() if env.get(v)})
+        found["dead_letters"] = env.get("DEAD_LETTERS", "").lower() in ("1", "true", "yes")
         return cls(**found)
 
     @property
@@ -61,6 +65,10 @@ class Settings:
     def bad_records_path(self) -> str:
         return f"{self.lake_root}/bad_records"
 
+    @property
+    def dead_letter_path(self) -> str | None:
+        return f"{self.lake_root}/dead_letters" if self.dead_letters else None
+
     @property
     def progress_path(self) -> str:
         return f"{self.lake_root}/progress"

@@ -15,6 +15,7 @@ from riskstream.operators.columns import (
     drop_index_column, normalize_columns, replay_order, shape_record, to_messages,
 )
 from riskstream.operators.features import extend_features, with_extended_features
+from riskstream.operators.lookup import category_risk, with_category_risk
 from riskstream.operators.sampling import hash_sample, train_test
 from riskstream.operators.stats import alert_stats_maps, dataset_profile, stats_document
 from riskstream.plans import training as tr
@@ -24,10 +25,6 @@ from riskstream.sinks.alert_store import AlertStore
 from riskstream.sources import messages, tables
 from riskstream.streaming import runner
 
-# The lean forest needs a risk table at serving time and has no job of its own.
-JOB_RECIPES = sorted(set(tr.RECIPES) - {tr.RANDOM_FOREST_LEAN.name})
-
-
 def _as_of(args) -> Column | None:
     return F.lit(args.as_of).cast("date") if args.as_of else None
 
@@ -37,11 +34,20 @@ def _table(spark: SparkSession, path: str, csv: bool) -> DataFrame:
     return drop_index_column(rows)
 
 
-def _scorer(args, model) -> runner.Scorer | None:
+def _scorer(spark: SparkSession, args) -> runner.Scorer | None:
+    """The saved model as a function of a batch, with the category risk that was saved beside it if its
+    recipe needs one; None without a model."""
+    model = runner.load_model(args.model) if args.model else None
     if model is None:
         return None
     recipe = tr.RECIPES[args.recipe]
-    return lambda batch: tr.score(model, recipe, extend_features(batch), args.threshold)
+    risk = spark.read.parquet(tr.risk_path(args.model)) if recipe.needs_risk else None
+
+    def score(batch: DataFrame) -> DataFrame:
+        rows = extend_features(batch)
+        return tr.score(model, recipe, rows if risk is None else with_category_risk(rows, risk), args.threshold)
+
+    return score
 
 
 def train(spark: SparkSession, settings: Settings, args) -> DataFrame:
@@ -51,6 +57,10 @@ def train(spark: SparkSession, settings: Settings, args) -> DataFrame:
         rows = hash_sample(rows, args.sample)
     training, test = train_test(with_extended_features(rows, _as_of(args)))
     recipe = tr.RECIPES[args.recipe]
+    if recipe.needs_risk:  # of the training rows only
+        category_risk(training).write.mode("overwrite").parquet(tr.risk_path(args.model))
+        risk = spark.read.parquet(tr.risk_path(args.model))
+        training, test = with_category_risk(training, risk), with_category_risk(test, risk)
     model = tr.fit(recipe, training, args.balance)
     tr.save_model(model, args.model)
     return tr.evaluate(model, recipe, test)
@@ -62,8 +72,8 @@ def stream(spark: SparkSession, settings: Settings, args) -> None:
         source = messages.file_stream(spark, args.folder, settings.max_files_per_trigger)
     else:
         source = messages.kafka_stream(spark, settings)
-    score = _scorer(args, runner.load_model(args.model) if args.model else None)
-    queries = runner.start_all(spark, source, settings, score, _as_of(args))
+    start = runner.start_joint if args.joint else runner.start_all
+    queries = start(spark, source, settings, _scorer(spark, args), _as_of(args))
     if args.until_empty:
         runner.finish(queries)
     else:
@@ -95,16 +105,19 @@ def stats(spark: SparkSession, settings: Settings, args) -> DataFrame:
 def alerts(spark: SparkSession, settings: Settings, args) -> DataFrame:
     """The current alerts, filtered and limited, under their display labels."""
     current = AlertStore(spark, settings.alerts_path).read(retention_days=settings.retention_days)
-    return display_alerts(list_alerts(current, args.limit, args.category, args.state))
+    return display_alerts(list_alerts(current, args.limit, args.category, args.state, args.limit_first))
 
 
 def maintain(spark: SparkSession, settings: Settings, args) -> DataFrame:
-    """Delete expired alert folders and, with --compact-day, merge those of a finished day."""
+    """Merge finished alert batches into the table of current alerts and delete its expired days; merge the
+    progress rows and, with --compact-day, the archive files of a finished day."""
     store = AlertStore(spark, settings.alerts_path)
-    removed = store.purge(dt.datetime.now(), settings.retention_days)
+    merged = store.compact(keep_newest=True, grace=dt.timedelta(minutes=args.grace_minutes))
+    expired = store.purge(dt.datetime.now(), settings.retention_days)
+    runner.compact_progress(spark, settings.progress_path)
     if args.compact_day:
-        store.compact(dt.date.fromisoformat(args.compact_day))
-    return spark.createDataFrame([(removed,)], "removed_folders int")
+        files.compact_archive_day(spark, settings.archive_path, dt.date.fromisoformat(args.compact_day))
+    return spark.createDataFrame([(merged, expired)], "merged_batches int, expired_days int")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -117,7 +130,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--input", required=True)
             job.add_argument("--csv", action="store_true", help="the input is CSV, not Parquet")
         if model:
-            job.add_argument("--recipe", choices=JOB_RECIPES, default=tr.BOOSTED_TREES.name)
+            job.add_argument("--recipe", choices=sorted(tr.RECIPES), default=tr.BOOSTED_TREES.name)
             job.add_argument("--model", required=name == "train")
             job.add_argument("--as-of", help="reference day for ages, today if absent")
         return job
@@ -128,25 +141,39 @@ def _parser() -> argparse.ArgumentParser:
     job = add("stream", model=True)
     job.add_argument("--folder", help="read JSON lines from here instead of Kafka")
     job.add_argument("--threshold", type=float)
+    job.add_argument("--joint", action="store_true", help="parse once, in one query for all sinks")
     job.add_argument("--until-empty", action="store_true", help="stop when the source is drained")
     add("publish", table=True).add_argument("--folder", help="write JSON lines here instead of to Kafka")
     add("convert", table=True).add_argument("--output", required=True)
     add("stats")
-    add("maintain").add_argument("--compact-day", help="YYYY-MM-DD")
+    job = add("maintain")
+    job.add_argument("--compact-day", help="YYYY-MM-DD")
+    job.add_argument("--grace-minutes", type=int, default=60, help="keep merged batches this long for running readers")
     job = add("alerts")
-    job.add_argument("--limit", type=int, default=1000)
+    job.add_argument("--limit", type=lambda text: None if text == "all" else int(text), default=1000, help="a number, or all")
+    job.add_argument("--limit-first", action="store_true", help="cut before filtering, as the published endpoint does")
     job.add_argument("--category")
     job.add_argument("--state")
     return parser
 
 
+def _show_all(rows: DataFrame) -> None:
+    """Every row as a line of tab-separated text, partition by partition, so that the driver holds one at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join(map(str, row)))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     settings = Settings.from_env()
     spark = build_session(f"riskstream-{args.job}", settings)
     result = globals()[args.job](spark, settings, args)
     if result is not None:
-        result.show(getattr(args, "limit", 1000), truncate=False)  # all that was asked for
+        if getattr(args, "limit", 1000) is None:
+            _show_all(result)
+        else:
+            result.show(getattr(args, "limit", 1000), truncate=False)  # all that was asked for
 
 
 if __name__ == "__main__":

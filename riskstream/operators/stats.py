@@ -108,23 +108,33 @@ def dataset_profile(transactions: DataFrame) -> DataFrame:
     )
 
 
+def round_width(spread: Column, bins: int) -> Column:
+    """The smallest of 1, 2 and 5 times a power of ten that is at least a ``bins``-th of ``spread``; 1 for none."""
+    least = spread / bins
+    power = F.pow(F.lit(10.0), F.floor(F.log10(least)))
+    steps = [F.when(power * m >= least, power * m) for m in (1, 2, 5)]
+    return F.when(least > 0, F.coalesce(*steps, power * 10)).otherwise(1.0)
+
+
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins between the smallest and largest value, the largest in the last bin.
+    """(bin, bin_start, bin_end, n): bins of a round width, ``bins`` + 1 at most, empty ones included.
 
-    The bounds are a scalar subquery, so nothing is joined and no value reaches the driver.
-    Missing and NaN values have no bin. If all values are equal there is one bin.
+    Bins begin at multiples of their width, the first holds the smallest value and is number 0. Missing
+    and non-finite values have no bin; without any value there are no bins. The bounds are one scalar
+    subquery; nothing but the counts is joined and no value reaches the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null and not isnan(x)")
+    values = df.select(F.col(column).cast("double").alias("x")).filter(F.abs("x") < float("inf"))
     bounds = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    lo = bounds.getField("lo")
-    width = (bounds.getField("hi") - lo) / bins
-    index = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(0)
-    counted = values.groupBy(index.cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    return counted.select(
-        "bin",
-        (lo + F.col("bin") * width).alias("bin_start"),
-        (lo + (F.col("bin") + 1) * width).alias("bin_end"),
-        "n",
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    width = round_width(hi - lo, bins)
+    counted = values.groupBy(F.floor(F.col("x") / width).alias("at")).agg(F.count("*").alias("n"))
+    first, last = F.floor(lo / width), F.floor(hi / width)
+    every = df.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("at"))
+    return every.join(counted, "at", "left").select(
+        (F.col("at") - first).cast("int").alias("bin"),
+        (F.col("at") * width).alias("bin_start"),
+        ((F.col("at") + 1) * width).alias("bin_end"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
@@ -148,19 +158,19 @@ def with_running_totals(df: DataFrame, order: str, columns: list[str], span: int
     ).drop("_span", *[f"_{p}_{c}" for p in "ro" for c in columns])
 
 
-def batch_metrics(scored: DataFrame, key: str = "batch_id") -> DataFrame:
-    """Rows, labelled positives, alerts and caught positives per batch."""
+def batch_counts() -> dict[str, Column]:
+    """Aggregates of a scored batch: rows, labelled positives, alerts and caught positives."""
     positive, alert = F.col("is_fraud") == 1, F.col("prediction") == 1
 
     def count_if(condition: Column) -> Column:
         return F.count_if(F.coalesce(condition, F.lit(False)))
 
-    return scored.groupBy(key).agg(
-        F.count("*").alias("n"),
-        count_if(positive).alias("fraud"),
-        count_if(alert).alias("alerts"),
-        count_if(positive & alert).alias("caught"),
-    )
+    return {"n": F.count(F.lit(1)), "fraud": count_if(positive), "alerts": count_if(alert), "caught": count_if(positive & alert)}
+
+
+def batch_metrics(scored: DataFrame, key: str = "batch_id") -> DataFrame:
+    """``batch_counts`` per batch."""
+    return scored.groupBy(key).agg(*[c.alias(name) for name, c in batch_counts().items()])
 
 
 def batch_progress(per_batch: DataFrame, order: str = "batch_id") -> DataFrame:

@@ -99,6 +99,19 @@ RATES = """round(tp / nullif(tp + fp, 0), 6) as precision,
   round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) as f1,
   round(fp / nullif(fp + tn, 0), 6) as fpr,
   round((tp + tn) / nullif(tp + fp + fn + tn, 0), 6) as accuracy"""
+SPLITS = f""", values_of as (unpivot (select transaction_id, amount, cast(hour_of_day as double) as hour_of_day,
+          cast(city_pop as double) as city_pop, lat, cast(unix_time as double) as unix_time from t)
+        on amount, hour_of_day, city_pop, lat, unix_time into name feature value value),
+  counted as (select feature, value, count(*) filter (is_fraud = 1) as pos, count(*) filter (is_fraud <> 1) as neg
+        from values_of join t using (transaction_id) where {HASH} < 'cccccccc' group by feature, value),
+  running as (select *, sum(pos) over w as lp, sum(neg) over w as ln, sum(pos) over a as ap, sum(neg) over a as an
+        from counted window w as (partition by feature order by value), a as (partition by feature)),
+  tried as (select feature, value as threshold, cast(ap + an as bigint) as n, cast(lp + ln as bigint) as n_left,
+          cast(lp as bigint) as pos_left,
+          round(((lp * lp + ln * ln) / cast(lp + ln as double) + ((ap - lp) * (ap - lp) + (an - ln) * (an - ln)) / cast(ap + an - lp - ln as double)
+            - (ap * ap + an * an) / cast(ap + an as double)) / (ap + an), 9) as gain
+        from running where lp + ln < ap + an),
+  best as (select * from tried qualify row_number() over (partition by feature order by gain desc, threshold) = 1)"""
 BY_CATEGORY = "select category, count(*) as n from a group by category"
 BY_STATE = "select state, count(*) as n from a where state is not null and state <> '' group by state"
 COMPLETE = "amount is not null and dob is not null and lat is not null and merch_lat is not null"
@@ -188,10 +201,16 @@ _BODIES: dict[str, str] = {
                                 "where category = 'grocery_pos'",
     "alerts_filter_then_limit": f"select {SERVED} from a where category = 'grocery_pos' {NEWEST} limit 500",
     "alerts_filter_state": f"select {SERVED} from a where category = 'travel' and state = 'NATION_7'",
-    "amount_histogram": """, b as (select min(amount) as lo, (max(amount) - min(amount)) / 30 as w from a)
-        select bin, round(any_value(lo) + bin * any_value(w), 6) as bin_start,
-               round(any_value(lo) + (bin + 1) * any_value(w), 6) as bin_end, count(*) as n
-        from (select cast(least(floor((amount - lo) / w), 29) as int) as bin, lo, w from a, b) group by bin""",
+    "amount_histogram": """, f as (select x from (select case when state = '' then cast('infinity' as double)
+          when amount between 300 and 420 then null else amount end as x from a) where abs(x) < cast('infinity' as double)),
+        b as (select min(x) as lo, max(x) as hi, (max(x) - min(x)) / 30 as least from f),
+        w as (select lo, hi, case when least > 0 then case when p >= least then p when 2 * p >= least then 2 * p
+            when 5 * p >= least then 5 * p else 10 * p end else 1.0 end as w
+          from (select *, pow(10.0, floor(log10(least))) as p from b)),
+        e as (select unnest(range(cast(floor(lo / w) as bigint), cast(floor(hi / w) as bigint) + 1)) as k, lo, w from w),
+        c as (select cast(floor(x / w) as bigint) as k, count(*) as n from f, w group by 1)
+        select cast(k - floor(lo / w) as int) as bin, round(k * w, 6) as bin_start, round((k + 1) * w, 6) as bin_end,
+          coalesce(n, 0) as n from e left join c using (k)""",
     "dataset_profile": """select count(*) as n, cast(sum(is_fraud) as bigint) as fraud,
         round(avg(is_fraud), 6) as fraud_rate, cast(count(*) - sum(is_fraud) as bigint) as normal from t""",
     "split_counts": f"select case when {HASH} < 'cccccccc' then 'train' else 'test' end as split, "
@@ -236,7 +255,39 @@ _BODIES: dict[str, str] = {
         select transaction_id, category, cast(i as double) as category_idx from t join c using (category)""",
     "assemble_skip": f"select transaction_id, amount from t where {COMPLETE}",
     "model_roundtrip": "select count(*) as scored, cast(0 as bigint) as differing from t",
-    "score_batch": "select transaction_id, amount, is_fraud, true as is_probability, true as fits_prediction from t",
+    "score_facts": "select category, count(*) as scored, cast(sum(is_fraud) as bigint) as positives from t group by category",
+    "split_search": f"{SPLITS} select feature, threshold, n, n_left, pos_left, round(gain, 6) as gain from best",
+    "stump_metrics": f"""{SPLITS}, top as (select * from best order by gain desc, feature limit 1),
+        test as (select is_fraud, v.value from values_of v join t using (transaction_id), top
+                 where v.feature = top.feature and {HASH} >= 'cccccccc'),
+        sides as (select avg(is_fraud) filter (value <= threshold) as l, avg(is_fraud) filter (value > threshold) as r from test, top),
+        judged as (select is_fraud, (value <= threshold) = (l >= r) as alert from test, top, sides)
+        select *, {RATES} from (select count(*) filter (is_fraud = 1 and alert) as tp, count(*) filter (is_fraud <> 1 and alert) as fp,
+          count(*) filter (is_fraud = 1 and not alert) as fn, count(*) filter (is_fraud <> 1 and not alert) as tn from judged)""",
+    "model_facts": f"""select count(distinct k) as models, cast(sum(is_fraud) / count(distinct k) as bigint) as positives,
+        cast(sum(1 - is_fraud) / count(distinct k) as bigint) as negatives
+        from t, (values ('decision_tree'), ('random_forest_small')) m(k) where {HASH} >= 'cccccccc'""",
+    "alerts_store_filtered": f"""select {SERVED} from (
+        select {COPIED.replace('amount', 'amount * case when amount > 400 then 3 else 2 end as amount')}, cast(1 as double) as is_fraud,
+          case when amount > 400 then timestamp '2024-02-08' else timestamp '2024-02-05' end as detected_at
+        from t where amount > 250) where category = 'travel'""",
+    "alert_purge_replay": f"""select {COPIED}, cast(1 as double) as is_fraud, timestamp '2024-02-08' as detected_at
+        from t where amount > 100 and amount <= 250""",
+    "joint_archive": FEATURE_FRAME,
+    "joint_alerts": "select transaction_id, amount, category, is_fraud from a",
+    "joint_quarantine": "select props as raw_value, 'transaction_id,transaction_time,amount' as missing from events",
+    "dedup_stream": "select * from t",
+    "csv_bad_rows": """select transaction_id as trans_num, case when amount <= 400 then amount end as amt,
+        coalesce(amount > 400, false) as is_bad, case when amount > 400 then true end as kept from t""",
+    "progress_after_replay": """, m as (select case when hour(transaction_time) < 12 then 0 else 1 end as d,
+          count(*) as n, count(*) filter (is_fraud = 1) as fraud, count(*) filter (amount > 100) as alerts,
+          count(*) filter (is_fraud = 1 and amount > 100) as caught from t group by 1)
+        select cast(d as bigint) as batch_id, n, fraud, alerts, caught,
+          case when d = 1 then (select count(*) from events) else n - n end as bad,
+          cast(sum(n) over w as bigint) as cum_n, cast(sum(fraud) over w as bigint) as cum_fraud,
+          cast(sum(alerts) over w as bigint) as cum_alerts, cast(sum(caught) over w as bigint) as cum_caught,
+          round(sum(fraud) over w / sum(n) over w * 100, 4) as cum_fraud_pct
+        from m window w as (order by d)""",
 }
 
 # Queries that read a source table directly.

@@ -11,12 +11,14 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskstream.config import Settings
 from riskstream.functions import scalars
 from riskstream.operators import alerts as al
 from riskstream.operators import columns as cl
 from riskstream.operators import features as ft
 from riskstream.operators import lookup as lk
 from riskstream.operators import metrics as mt
+from riskstream.operators import ordered as od
 from riskstream.operators import quality as ql
 from riskstream.operators import sampling as sm
 from riskstream.operators import stats as st
@@ -25,7 +27,7 @@ from riskstream.plans.transactions import (
     replay_file_rows, table, transactions, with_rule_prediction,
 )
 from riskstream.schema import (
-    ALERT_COLUMNS, CSV_INDEX_COLUMN, NUMERIC_FEATURES, ONE_HOT_COLUMNS, TRANSACTION_SCHEMA,
+    ALERT_COLUMNS, CSV_INDEX_COLUMN, NUMERIC_FEATURES, ONE_HOT_COLUMNS, TRAINING_CSV_SCHEMA, TRANSACTION_SCHEMA,
 )
 from riskstream.session import fresh_folder, remove_folder
 from riskstream.sinks import files
@@ -41,8 +43,12 @@ AS_OF = dt.date(2024, 6, 30)
 FIRST_BATCH_CLOCK = "2024-01-05 00:00:00"
 SECOND_BATCH_CLOCK = "2024-02-05 00:00:00"
 REPLAY_CLOCK = "2024-02-07 00:00:00"
+THIRD_BATCH_CLOCK = "2024-02-08 00:00:00"
+LATE_PURGE = dt.datetime(2024, 3, 7, tzinfo=dt.timezone.utc)
 STREAM_READ_AT = "2024-01-30 00:00:00"
 RETENTION_AS_OF = "2024-02-10 00:00:00"
+# The wire columns that a training file has, under their wire names.
+TRAINING_ROW = [c for c in TRANSACTION_SCHEMA.names if c != "hour_of_day"]
 SWEEP = [i / 10 for i in range(1, 10)]
 
 
@@ -238,8 +244,13 @@ _over_alerts("alerts_limit_then_filter",
              lambda a: al.list_alerts(a, 500, "grocery_pos", limit_first=True))
 _over_alerts("alerts_filter_then_limit", lambda a: al.list_alerts(a, 500, "grocery_pos"))
 _over_alerts("alerts_filter_state", lambda a: al.list_alerts(a, category="travel", state="NATION_7"))
-_over_alerts("amount_histogram",
-             lambda a: _rounded(st.histogram(a, "amount", 30), "bin_start", "bin_end"))
+
+
+@query("amount_histogram")
+def amount_histogram(spark, folder):
+    """Alert amounts with a gap and with infinite ones: empty bins show, infinite values have none."""
+    amount = F.when(F.col("state") == "", float("inf")).when(F.col("amount").between(300, 420), F.lit(None)).otherwise(F.col("amount"))
+    return _rounded(st.histogram(_alerts(spark, folder).withColumn("amount", amount), "amount", 30), "bin_start", "bin_end")
 
 
 @query("dataset_profile")
@@ -279,13 +290,14 @@ def split_train_test(spark, folder):
 # -------------------------------------------------------- sources and sinks
 
 @contextmanager
-def _replayed(spark: SparkSession, folder: str) -> Iterator[tuple[DataFrame, str]]:
-    """The transactions as a stream of published JSON lines, and a checkpoint folder for it.
+def _replayed(spark: SparkSession, folder: str, more: DataFrame | None = None) -> Iterator[tuple[DataFrame, str]]:
+    """The transactions, and ``more`` (value), as a stream of published lines, and a checkpoint folder for it.
     Both folders go once the stream has been drained into its table."""
     published, checkpoint = fresh_folder(spark, "messages"), fresh_folder(spark, "checkpoint")
     records = cl.shape_record(replay_file_rows(transactions(spark, folder)))
     try:
-        files.publish_to_files(cl.to_messages(records), published)
+        sent = cl.to_messages(records).select("value")
+        files.publish_to_files(sent if more is None else sent.union(more), published)
         yield ms.file_stream(spark, published), checkpoint
     finally:
         remove_folder(spark, published)
@@ -305,9 +317,24 @@ def stream_source(spark, folder):
 
 @query("read_csv")
 def read_csv(spark, folder):
+    """Two files of one folder with their columns in another order, one with an unnamed index column."""
+    path = fresh_folder(spark, "csv")
+    rows = replay_file_rows(transactions(spark, folder))
+    files.write_csv(rows.filter("amt > 150").select(F.lit(0).alias(" "), *reversed(rows.columns)), f"{path}/swapped")
+    files.write_csv(rows.filter("not amt > 150 or amt is null"), f"{path}/plain")
+    read = tb.read_training_csv(spark, f"{path}/*")
+    return cl.normalize_columns(cl.drop_index_column(read)).drop("trans_date_trans_time").select(*TRAINING_ROW)
+
+
+@query("csv_bad_rows")
+def csv_bad_rows(spark, folder):
+    """Rows with a cell that does not fit its column: the cell is null, the text is kept."""
     path = fresh_folder(spark, "csv")
-    files.write_csv(replay_file_rows(transactions(spark, folder)), path)
-    return cl.normalize_columns(tb.read_training_csv(spark, path)).drop("trans_date_trans_time")
+    rows = replay_file_rows(transactions(spark, folder)).select(*TRAINING_CSV_SCHEMA.names)
+    broken = F.when(F.col("amt") > 400, F.lit("much")).otherwise(F.col("amt").cast("string"))
+    files.write_csv(rows.withColumn("amt", broken), path)
+    read = tb.read_training_csv(spark, path, bad_rows="bad")
+    return read.select("trans_num", "amt", F.col("bad").isNotNull().alias("is_bad"), F.col("bad").startswith(F.col("trans_num")).alias("kept"))
 
 
 @query("csv_to_parquet")
@@ -347,6 +374,66 @@ def alert_stream(spark, folder):
     return store.read(_at(STREAM_READ_AT)).select(*ALERT_COLUMNS)
 
 
+@contextmanager
+def _joint(spark: SparkSession, folder: str) -> Iterator[Settings]:
+    """The transactions and the events' own JSON, which is no transaction, through one query for all sinks."""
+    settings = Settings(lake_root=fresh_folder(spark, "lake"), alert_trigger=runner.AVAILABLE_NOW)
+    foreign = table(spark, folder, "events").select(F.col("props").alias("value"))
+    with _replayed(spark, folder, foreign) as (incoming, _):
+        runner.finish(runner.start_joint(spark, incoming, settings, with_rule_prediction, _as_of()))
+    yield settings
+
+
+@query("joint_archive")
+def joint_archive(spark, folder):
+    with _joint(spark, folder) as settings:
+        return _feature_frame(tb.read_archive(spark, settings.archive_path))
+
+
+@query("joint_alerts")
+def joint_alerts(spark, folder):
+    with _joint(spark, folder) as settings:
+        return AlertStore(spark, settings.alerts_path).read().select("transaction_id", "amount", "category", "is_fraud")
+
+
+@query("joint_quarantine")
+def joint_quarantine(spark, folder):
+    with _joint(spark, folder) as settings:
+        return spark.read.parquet(settings.bad_records_path).select("raw_value", "missing")
+
+
+@query("progress_after_replay")
+def progress_after_replay(spark, folder):
+    """Two batches, the first one replayed, and the progress rows merged: each batch counts once."""
+    lake = Settings(lake_root=fresh_folder(spark, "lake"))
+    store = AlertStore(spark, lake.alerts_path, run_id=1)
+    on_batch = runner.JointBatch(runner.AlertBatch(with_rule_prediction, store, lake.progress_path), lake.archive_path,
+                                 lake.bad_records_path, _as_of())
+    records = cl.shape_record(replay_file_rows(transactions(spark, folder)))
+    foreign = table(spark, folder, "events").select(F.col("props").alias("value"))
+    arrived = F.current_timestamp().alias("timestamp")
+    first = cl.to_messages(records.filter("hour_of_day < 12")).select("value", arrived)
+    second = cl.to_messages(records.filter("hour_of_day >= 12")).select("value").union(foreign).select("value", arrived)
+    for batch, number in ((first, 0), (second, 1), (first, 0)):
+        on_batch(batch, number)
+    runner.compact_progress(spark, lake.progress_path)
+    counted = runner.read_progress(spark, lake.progress_path)
+    return st.batch_progress(counted.select("batch_id", "n", "fraud", "alerts", "caught", "bad"))
+
+
+@query("dedup_stream")
+def dedup_stream(spark, folder):
+    """Every message twice, the second time after a restart from the checkpoint: each is landed once."""
+    landing, published, checkpoint = (fresh_folder(spark, n) for n in ("landing", "messages", "checkpoint"))
+    sent = cl.to_messages(cl.shape_record(replay_file_rows(transactions(spark, folder)))).select("value")
+    for part in (sent, sent):
+        part.write.mode("append").text(published)
+        unique = ql.drop_resent(ms.parse_messages(ms.file_stream(spark, published)).filter(~ql.is_bad()), lateness="90 days")
+        writer = unique.writeStream.format("parquet").option("path", landing).option("checkpointLocation", checkpoint)
+        runner.finish([writer.trigger(availableNow=True).start()])
+    return spark.read.parquet(landing).select(*TRANSACTION_SCHEMA.names)
+
+
 def _two_batches(spark: SparkSession, folder: str) -> AlertStore:
     """Alerts above 100 as batch 0; those above 250 again, with another amount, as batch 1."""
     store = AlertStore(spark, fresh_folder(spark, "alerts"), run_id=1)
@@ -373,6 +460,29 @@ def alert_retention(spark, folder):
     return store.read(_at(RETENTION_AS_OF)).select(*ALERT_COLUMNS)
 
 
+@query("alerts_store_filtered")
+def alerts_store_filtered(spark, folder):
+    """Two merged batches, a third one in the log, and a filter that reaches the merged table."""
+    store = _two_batches(spark, folder)
+    store.compact()
+    third = with_rule_prediction(transactions(spark, folder)).filter("amount > 400").withColumn("amount", F.col("amount") * 3)
+    store.write_batch(al.alert_projection(third, _at(THIRD_BATCH_CLOCK)), 2)
+    return al.list_alerts(store.read(_at(RETENTION_AS_OF)), category="travel")
+
+
+@query("alert_purge_replay")
+def alert_purge_replay(spark, folder):
+    """Expired days go by name; batch 0 replayed before and after that never shows a row that batch 1 replaced."""
+    store = _two_batches(spark, folder)
+    scored = with_rule_prediction(transactions(spark, folder))
+    for clock in (REPLAY_CLOCK, THIRD_BATCH_CLOCK):
+        store.compact()
+        store.write_batch(al.alert_projection(scored, _at(clock)), 0)
+        store.compact()
+        store.purge(LATE_PURGE)
+    return store.read(F.lit(LATE_PURGE)).select(*ALERT_COLUMNS)
+
+
 @query("dedup_transactions")
 def dedup_transactions(spark, folder):
     """A replay that wraps around: everything is sent again, corrected above 100."""
@@ -439,20 +549,9 @@ def _model_rows(spark: SparkSession, folder: str) -> DataFrame:
     return ft.with_extended_features(transactions(spark, folder), _as_of())
 
 
-_TRAINED: dict[tuple[str, str, str], PipelineModel] = {}
-
-
 def _train(spark: SparkSession, folder: str, recipe: tr.Recipe) -> PipelineModel:
     train, _ = sm.train_test(_model_rows(spark, folder))
-    model = tr.fit(recipe, train)
-    _TRAINED[spark.sparkContext.applicationId, folder, recipe.name] = model
-    return model
-
-
-def _trained(spark: SparkSession, folder: str, recipe: tr.Recipe) -> PipelineModel:
-    """The model trained earlier in this application on this data, or a new one."""
-    known = _TRAINED.get((spark.sparkContext.applicationId, folder, recipe.name))
-    return known or _train(spark, folder, recipe)
+    return tr.fit(recipe, train)
 
 
 def _evaluated(spark: SparkSession, folder: str, recipe: tr.Recipe, model: PipelineModel) -> DataFrame:
@@ -481,31 +580,67 @@ def train_rf_lean(spark, folder):
     return _rounded(tr.evaluate(model, recipe, lk.with_category_risk(test, risk)), "auc")
 
 
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    model = _train(spark, folder, tr.RANDOM_FOREST_SMALL)
+    return tr.score(model, tr.RANDOM_FOREST_SMALL, _model_rows(spark, folder))
+
+
 @query("score_batch")
 def score_batch(spark, folder):
-    model = _trained(spark, folder, tr.RANDOM_FOREST_SMALL)
-    scored = tr.score(model, tr.RANDOM_FOREST_SMALL, _model_rows(spark, folder))
-    p = F.col("fraud_probability")
-    return scored.select("transaction_id", "amount", "is_fraud", p.between(0, 1).alias("is_probability"),
-                         (F.col("prediction") == (p > 0.5).cast("double")).alias("fits_prediction"))
+    """Every transaction with what the model says about it."""
+    return _scored(spark, folder).select("transaction_id", "amount", "is_fraud", "prediction", "fraud_probability")
+
+
+@query("score_facts")
+def score_facts(spark, folder):
+    """What must hold of the scores whatever the model: rows with a score and positives among them, by category."""
+    return _scored(spark, folder).filter("fraud_probability between 0 and 1 and prediction in (0, 1)").groupBy("category").agg(
+        F.count("fraud_probability").alias("scored"), F.sum("is_fraud").alias("positives"))
+
+
+SPLIT_FEATURES = ["amount", "hour_of_day", "city_pop", "lat", "unix_time"]
+
+
+@query("split_search")
+def split_search(spark, folder):
+    """The best cut of each number by Gini impurity, over the training rows."""
+    train, _ = sm.train_test(transactions(spark, folder))
+    return _rounded(od.split_search(train, SPLIT_FEATURES, "is_fraud"), "gain")
+
+
+@query("stump_metrics")
+def stump_metrics(spark, folder):
+    """The depth-one tree on the best of these cuts, judged on the test rows."""
+    train, test = sm.train_test(transactions(spark, folder))
+    splits = od.split_search(train, SPLIT_FEATURES, "is_fraud")
+    return mt.classification_metrics(od.with_stump(test, splits))
+
+
+@query("model_facts")
+def model_facts(spark, folder):
+    """What must hold of each model's evaluation: all test rows judged, positives and negatives as they are."""
+    recipes = (tr.DECISION_TREE, tr.RANDOM_FOREST_SMALL)
+    rows = tr.compare([_evaluated(spark, folder, r, _train(spark, folder, r)) for r in recipes])
+    return rows.filter("auc between 0 and 1").agg(
+        F.count("*").alias("models"), F.min(F.col("tp") + F.col("fn")).alias("positives"), F.max(F.col("fp") + F.col("tn")).alias("negatives"))
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    return tr.feature_importance(_trained(spark, folder, tr.RANDOM_FOREST_SMALL), tr.RANDOM_FOREST_SMALL)
+    return tr.feature_importance(_train(spark, folder, tr.RANDOM_FOREST_SMALL), tr.RANDOM_FOREST_SMALL)
 
 
 @query("model_comparison")
 def model_comparison(spark, folder):
     recipes = (tr.DECISION_TREE, tr.RANDOM_FOREST_SMALL, tr.BOOSTED_TREES)
-    return tr.compare([_evaluated(spark, folder, r, _trained(spark, folder, r)) for r in recipes])
+    return tr.compare([_evaluated(spark, folder, r, _train(spark, folder, r)) for r in recipes])
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, folder):
     """Save, load and score: how many rows the loaded model scores differently."""
     recipe, path = tr.DECISION_TREE, fresh_folder(spark, "model")
-    model = _trained(spark, folder, recipe)
+    model = _train(spark, folder, recipe)
     tr.save_model(model, path)
     rows = _model_rows(spark, folder)
     before = tr.score(model, recipe, rows).withColumnRenamed("fraud_probability", "before")

@@ -62,6 +62,21 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(location)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    file_system, location = _located(spark, source)
+    if not file_system.rename(location, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def folders_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, time of change in ms) of the folders right under ``path``, in order; none if it does not exist."""
+    file_system, location = _located(spark, path)
+    if not file_system.exists(location):
+        return []
+    found = [s for s in file_system.listStatus(location) if s.isDirectory()]
+    return sorted((s.getPath().getName(), s.getModificationTime()) for s in found)
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder this package wrote, on whatever file system it lies."""
     file_system, location = _located(spark, path)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskstream.config import Settings
+from riskstream.session import folders_in, move_folder, remove_folder
 from riskstream.sources.tables import read_training_csv
 
 
@@ -28,6 +33,34 @@ def write_archive(df: DataFrame, path: str, mode: str = "append", time_ordered:
     gathered.write.mode(mode).partitionBy("date").parquet(path)
 
 
+def write_archive_batch(df: DataFrame, path: str, batch: str) -> None:
+    """One micro-batch into ``path/date=<day>/batch=<batch>``, replacing what an earlier attempt left there.
+
+    Rows are gathered by day first, so a batch adds a file or so to each day it touches, whatever the
+    number of its tasks.
+    """
+    gathered = df.withColumn("batch", F.lit(batch)).hint("rebalance", "date")
+    (gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "batch").parquet(path))
+
+
+def compact_archive_day(spark: SparkSession, path: str, day: dt.date) -> int:
+    """Merge the batch folders of a finished day of ``write_archive_batch``; returns how many there were.
+
+    The merged copy is complete, under a name that readers skip, before it takes the place of the day.
+    """
+    folder = f"{path}/date={day}"
+    batches = [name for name, _ in folders_in(spark, folder) if name.startswith("batch=")]
+    if len(batches) < 2:
+        return len(batches)
+    merged = f"{path}/_merging-{uuid.uuid4().hex}"
+    rows = spark.read.option("basePath", folder).parquet(folder).drop("batch")
+    rows.hint("rebalance").write.parquet(f"{merged}/batch=merged-{uuid.uuid4().hex}")
+    remove_folder(spark, folder)
+    move_folder(spark, merged, folder)
+    return len(batches)
+
+
 def publish_to_files(messages: DataFrame, path: str) -> None:
     """JSON lines, one message per line; the key is inside the record as well."""
     messages.select("value").write.mode("errorifexists").text(path)

@@ -1,31 +1,41 @@
-"""The streaming job: one parsed, feature-enriched frame feeding an archive and an alert query."""
+"""The streaming job: messages parsed and enriched, feeding archive, quarantine and alerts.
+
+``start_all`` runs a query per sink, each with its own trigger. ``start_joint`` runs one query that reads
+and parses each micro-batch once and writes it to all sinks, each write replacing what an earlier attempt
+at the same batch has left.
+"""
 
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.config import Settings
 from riskstream.operators.alerts import alert_projection
 from riskstream.operators.features import with_features
-from riskstream.operators.quality import is_bad, split_bad
-from riskstream.operators.stats import batch_metrics
+from riskstream.operators.quality import drop_resent, is_bad, split_bad, with_missing
+from riskstream.operators.stats import batch_counts
 from riskstream.schema import ALERT_COPIED_COLUMNS
+from riskstream.session import folder_exists, folders_in, remove_folder
 from riskstream.sinks.alert_store import AlertStore, run_id_of
+from riskstream.sinks.files import write_archive_batch
 from riskstream.sources.messages import parse_messages
 
 log = logging.getLogger(__name__)
 
 Scorer = Callable[[DataFrame], DataFrame]
 AVAILABLE_NOW = "availableNow"
-PROGRESS_SCHEMA = "batch_id long, n long, fraud long, alerts long, caught long"
+PROGRESS_SCHEMA = ("run_id long, batch_id long, n long, fraud long, alerts long, caught long, bad long, "
+                   "seconds double, rows_per_second double, written_at timestamp")
 
 
 def enriched(messages: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -62,15 +72,23 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str,
     return _started(writer, trigger)
 
 
+def _observed(seen: Observation, rows: DataFrame, aggregates: dict[str, Column]) -> dict[str, int]:
+    """What ``seen`` has counted while ``rows`` were written. Where no row was left to write, the plan ends
+    early and its counts are lost; then, and only then, the rows are counted on their own."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return rows.agg(*[c.alias(name) for name, c in aggregates.items()]).first().asDict()
+
+
 @dataclass
 class AlertBatch:
     """What happens to one micro-batch: score, count, keep the positives.
 
-    The scored batch, cut down to the columns still needed, is kept while it is counted and
-    its alerts are written, so the source is read and scored once. Only the alerts move, rebalanced
-    into files of an even size after all tasks have filtered; a batch without any leaves no folder. A
-    failure stops the query, which retries the batch after a restart; with ``dead_letter_path``
-    set, the batch is stored there instead and the stream goes on.
+    Rows are counted while the alerts are written, so the source is read and scored once and nothing is
+    kept. Only the alerts move, rebalanced into files of an even size after all tasks have filtered; a batch
+    without any leaves no folder. A failure stops the query, which retries the batch after a restart;
+    with ``dead_letter_path`` set, the batch is stored there instead and the stream goes on.
     """
 
     score: Scorer
@@ -82,35 +100,109 @@ class AlertBatch:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         try:
-            self._process(batch, batch_id)
+            self.process(batch, batch_id)
         except Exception:
             if self.dead_letter_path is None:
                 raise
             log.exception("batch %s failed and goes to the dead-letter folder", batch_id)
             batch.write.mode("overwrite").parquet(f"{self.dead_letter_path}/run={self.run}/batch_id={batch_id}")
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        scored = self.score(batch.filter(~is_bad()))
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        started, read, bad = time.monotonic(), Observation(), {"bad": F.count_if(is_bad())}
+        seen = batch.observe(read, bad["bad"].alias("bad"))
+        counts = self.alert(seen.filter(~is_bad()), batch_id, batch.filter(~is_bad()))
+        if counts["n"]:
+            self.record(batch.sparkSession, batch_id, counts | _observed(read, batch, bad), time.monotonic() - started)
+
+    def alert(self, good: DataFrame, batch_id: int, unobserved: DataFrame | None = None) -> dict[str, int]:
+        """Score the good rows, store the alerts; the counts of the batch. ``unobserved`` are the same rows where
+        ``good`` is being observed, which works once only."""
+        scored, counted = self.score(good), Observation()
         extra = tuple(c for c in ("fraud_probability", "kafka_timestamp") if c in scored.columns)
-        kept = scored.select(*ALERT_COPIED_COLUMNS, "is_fraud", "prediction", *extra).persist()
+        rows = scored.select(*ALERT_COPIED_COLUMNS, "is_fraud", "prediction", *extra)
+        seen = rows.observe(counted, *[c.alias(name) for name, c in batch_counts().items()])
+        self.store.write_batch(alert_projection(seen, self.detected_at, extra).hint("rebalance"), batch_id)
+        counts = _observed(counted, rows if unobserved is None else self.score(unobserved), batch_counts())
+        log.info("batch %s: %s", batch_id, counts)
+        if not counts["alerts"]:
+            self.store.drop_batch(batch_id)
+        return counts
+
+    def record(self, spark: SparkSession, batch_id: int, counts: dict[str, int], seconds: float) -> None:
+        if self.progress_path:
+            values = [counts[c] for c in ("n", "fraud", "alerts", "caught", "bad")]
+            row = (self.store.run_id, batch_id, *values, seconds, (counts["n"] + counts["bad"]) / max(seconds, 1e-9))
+            names = ", ".join(PROGRESS_SCHEMA.split(", ")[:-1])
+            done = spark.createDataFrame([row], names).withColumn("written_at", F.current_timestamp()).coalesce(1)
+            done.write.mode("overwrite").parquet(f"{self.progress_path}/part=r{self.store.run_id}-b{batch_id}")
+
+
+def read_progress(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row per run and batch, the last one written."""
+    columns = [c.split(" ")[0] for c in PROGRESS_SCHEMA.split(", ")]
+    rows = spark.read.schema(PROGRESS_SCHEMA).parquet(*paths)
+    last = F.max(F.struct("written_at", *[c for c in columns[2:-1]])).alias("last")
+    return rows.groupBy("run_id", "batch_id").agg(last).select("run_id", "batch_id", *[f"last.{c}" for c in columns[2:]])
+
+
+def compact_progress(spark: SparkSession, path: str) -> None:
+    """Merge the progress rows of finished batches into one folder. The last batch of each run, which may
+    come again, stays apart; a row in both places counts once on reading."""
+    parts = [name for name, _ in folders_in(spark, path) if name.startswith("part=")]
+    numbered = {n: tuple(map(int, n.removeprefix("part=r").split("-b"))) for n in parts if n.startswith("part=r")}
+    newest = dict(sorted(numbered.values()))
+    old = [n for n in parts if n not in numbered or newest[numbered[n][0]] != numbered[n][1]]
+    if len(old) > 1:
+        merged = read_progress(spark, *[f"{path}/{n}" for n in old])
+        merged.coalesce(1).write.parquet(f"{path}/part=merged-{uuid.uuid4().hex}")
+        for name in old:
+            remove_folder(spark, f"{path}/{name}")
+
+
+@dataclass
+class JointBatch:
+    """One micro-batch of messages to all sinks, parsed once and kept while they are written.
+
+    Each sink's write replaces what an earlier attempt at the batch left there: archive folders by day
+    and batch, a quarantine folder, an alert folder and a progress row per batch.
+    """
+
+    alerts: AlertBatch
+    archive_path: str
+    bad_records_path: str
+    as_of: Column | None = None
+    scoring: bool = True
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        started, read = time.monotonic(), Observation()
+        part = f"r{self.alerts.store.run_id}-b{batch_id}"
+        kept = with_features(parse_messages(batch, keep_raw=True), self.as_of).persist()
         try:
-            counts = batch_metrics(kept.withColumn("batch_id", F.lit(batch_id).cast("long"))).first()
-            if counts is None:
-                return
-            log.info("batch %s: %s", batch_id, counts)
-            if counts.alerts:
-                alerts = alert_projection(kept, self.detected_at, extra)
-                self.store.write_batch(alerts.hint("rebalance"), batch_id)
-            else:
-                self.store.drop_batch(batch_id)
-            self._record(batch.sparkSession, counts, batch_id)
+            counted = {"n": F.count_if(~is_bad()), "bad": F.count_if(is_bad())}
+            seen = kept.observe(read, *[c.alias(name) for name, c in counted.items()])
+            write_archive_batch(seen.filter(~is_bad()).drop("raw_value"), self.archive_path, part)
+            counts = _observed(read, kept, counted)
+            if counts["bad"]:
+                bad = with_missing(kept.filter(is_bad())).select("raw_value", "kafka_timestamp", "missing")
+                bad.write.mode("overwrite").parquet(f"{self.bad_records_path}/part={part}")
+            if counts["n"] and self.scoring:
+                counts |= self._alerted(kept, batch_id)
+            if counts["n"] or counts["bad"]:
+                self.alerts.record(batch.sparkSession, batch_id, {"fraud": 0, "alerts": 0, "caught": 0} | counts,
+                                   time.monotonic() - started)
         finally:
             kept.unpersist()
 
-    def _record(self, spark: SparkSession, counts: Row, batch_id: int) -> None:
-        if self.progress_path:
-            row = spark.createDataFrame([tuple(counts)], PROGRESS_SCHEMA).coalesce(1)
-            row.write.mode("overwrite").parquet(f"{self.progress_path}/part=r{self.store.run_id}-b{batch_id}")
+    def _alerted(self, kept: DataFrame, batch_id: int) -> dict[str, int]:
+        """A failing scorer spares the other sinks where dead letters are kept."""
+        try:
+            return self.alerts.alert(kept.filter(~is_bad()).drop("raw_value"), batch_id)
+        except Exception:
+            if self.alerts.dead_letter_path is None:
+                raise
+            log.exception("batch %s cannot be scored and goes to the dead-letter folder", batch_id)
+            kept.write.mode("overwrite").parquet(f"{self.alerts.dead_letter_path}/run={self.alerts.run}/batch_id={batch_id}")
+            return {}
 
 
 def start_alerts(transactions: DataFrame, on_batch: AlertBatch, checkpoint: str,
@@ -123,15 +215,12 @@ def start_alerts(transactions: DataFrame, on_batch: AlertBatch, checkpoint: str,
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """The fitted pipeline, or None (archive-only mode) when it cannot be read."""
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import PySparkException
-
-    try:
-        return PipelineModel.load(path)
-    except (Py4JJavaError, PySparkException, OSError) as error:
-        log.warning("no model at %s (%s): archive-only mode", path, type(error).__name__)
+    """The fitted pipeline, or None (archive-only mode) where nothing lies at ``path``. A model that is there and
+    cannot be read is an error."""
+    if not folder_exists(SparkSession.active(), path):
+        log.warning("no model at %s: archive-only mode", path)
         return None
+    return PipelineModel.load(path)
 
 
 def start_all(spark: SparkSession, messages: DataFrame, settings: Settings,
@@ -140,6 +229,8 @@ def start_all(spark: SparkSession, messages: DataFrame, settings: Settings,
     # Queries that ended earlier in this session must not end the wait for these.
     spark.streams.resetTerminated()
     transactions = enriched(messages, as_of)
+    if settings.drop_resent_within:
+        transactions = drop_resent(transactions.filter(~is_bad()), lateness=settings.drop_resent_within)
     running = [
         start_archive(transactions, settings.archive_path, settings.checkpoint("archive"),
                       settings.archive_trigger),
@@ -151,11 +242,29 @@ def start_all(spark: SparkSession, messages: DataFrame, settings: Settings,
     else:
         checkpoint = settings.checkpoint("alerts")
         store = AlertStore(spark, settings.alerts_path, run_id_of(spark, checkpoint))
-        on_batch = AlertBatch(score, store, settings.progress_path)
+        on_batch = AlertBatch(score, store, settings.progress_path, settings.dead_letter_path)
         running.append(start_alerts(transactions, on_batch, checkpoint, settings.alert_trigger))
     return running
 
 
+def start_joint(spark: SparkSession, messages: DataFrame, settings: Settings,
+                score: Scorer | None, as_of: Column | None = None) -> list[StreamingQuery]:
+    """All sinks from one query, on the alert trigger. Messages sent again are told by their text."""
+    spark.streams.resetTerminated()
+    if folder_exists(spark, f"{settings.archive_path}/_spark_metadata"):
+        raise ValueError(f"{settings.archive_path} belongs to a file stream, whose readers would not see other files")
+    checkpoint = settings.checkpoint("joint")
+    store = AlertStore(spark, settings.alerts_path, run_id_of(spark, checkpoint))
+    alerts = AlertBatch(score, store, settings.progress_path, settings.dead_letter_path)
+    if score is None:
+        log.warning("no model: alerts are off")
+    if settings.drop_resent_within:
+        messages = drop_resent(messages, "value", "timestamp", settings.drop_resent_within)
+    on_batch = JointBatch(alerts, settings.archive_path, settings.bad_records_path, as_of, score is not None)
+    writer = messages.writeStream.queryName("joint").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return [_started(writer, settings.alert_trigger)]
+
+
 def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait for any query to end, so that one failing alone does not go unseen, then stop the rest."""
     try:

@@ -83,6 +83,7 @@ def test_retention_and_purge(spark, tmp_path):
     write(store, [("old", 1), ("renewed", 1)], 0, DAY - dt.timedelta(days=31))
     write(store, [("kept", 1), ("renewed", 2)], 1, DAY - dt.timedelta(days=29))
     assert content(store) == {"kept": 1, "renewed": 2}
+    assert store.purge(DAY) == 0 and store.compact() == 2 and content(store) == {"kept": 1, "renewed": 2}
     assert store.purge(DAY) == 1 and store.purge(DAY) == 0
     assert content(store) == {"kept": 1, "renewed": 2} and store.versions().count() == 2
 
@@ -99,11 +100,50 @@ def test_compaction_keeps_the_rows_and_their_order(spark, tmp_path):
     for batch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 1)]]):
         write(store, rows, batch)
     write(store, [("d", 1)], 3, DAY + dt.timedelta(days=1))
-    store.compact(DAY.date())
+    assert store.compact(keep_newest=True) == 3
     parts = {r.part for r in store.versions().select("part").distinct().collect()}
-    assert len(parts) == 2 and content(store, DAY) == {"a": 2, "b": 1, "c": 1, "d": 1}
+    assert parts == {"current", "r1-b3"} and content(store, DAY) == {"a": 2, "b": 1, "c": 1, "d": 1}
     write(store, [("a", 1), ("b", 1)], 0)
     assert content(store)["a"] == 2
+    assert store.compact() == 2 and content(store) == {"a": 2, "b": 1, "c": 1, "d": 1} and store.versions().count() == 4
+    assert store.compact() == 0
+
+
+def test_rows_move_between_days_when_merged(spark, tmp_path):
+    store, earlier = AlertStore(spark, str(tmp_path), run_id=1), DAY - dt.timedelta(days=3)
+    write(store, [("a", 1), ("b", 1)], 0, earlier)
+    store.compact()
+    write(store, [("a", 2)], 1)
+    write(store, [("b", 2)], 2)
+    store.compact()
+    days = sorted(p.name for p in (tmp_path / "current").iterdir() if p.name.startswith("day="))
+    assert days == [f"day={DAY:%Y-%m-%d}"] and content(store) == {"a": 2, "b": 2} and store.versions().count() == 2
+
+
+def test_merged_batches_stay_for_running_readers(spark, tmp_path):
+    store = AlertStore(spark, str(tmp_path), run_id=1)
+    write(store, [("a", 1)], 0)
+    write(store, [("a", 2)], 1)
+    reader = store.read(F.lit(DAY))
+    assert store.compact(grace=dt.timedelta(hours=1)) == 0
+    assert [r.amount for r in reader.collect()] == [2] and content(store) == {"a": 2}
+    assert store.compact() == 2 and content(store) == {"a": 2}
+
+
+def test_filters_and_days_reach_the_merged_table(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    store = AlertStore(spark, str(tmp_path), run_id=1)
+    write(store, [("a", 1), ("b", 5)], 0)
+    store.compact()
+    for more in (False, True):
+        if more:
+            write(store, [("a", 2)], 1)
+        rows = store.read(F.lit(DAY)).filter("category = 'travel'")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line or "PushedFilters" in line or "PartitionFilters" in line]
+        assert any("EqualTo(category,travel)" in line and "day" in line.partition("PartitionFilters")[2] for line in scans), plan
+        assert "Window" not in plan or more
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
@@ -118,6 +158,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
 def test_fully_purged_store_stays_usable(spark, tmp_path):
     store = AlertStore(spark, str(tmp_path / "s"), run_id=1)
     write(store, [("a", 1)], 0, DAY - dt.timedelta(days=40))
+    store.compact()
     assert store.purge(DAY) == 1 and store.purge(DAY) == 0 and content(store) == {}
     write(store, [("a", 2)], 1)
     assert content(store) == {"a": 2}
@@ -130,9 +171,12 @@ def test_purge_revives_no_replaced_alert(spark, tmp_path):
     write(store, [("b", 3)], 2, old)
     write(store, [("a", 1)], 0)  # batch 0 again, younger than the batch that replaced it
     assert content(store) == {}
-    assert store.purge(DAY) == 1 and content(store) == {}  # b's folder is needed by nobody, batch 1 hides batch 0
+    store.compact()
+    assert store.purge(DAY) == 1 and content(store) == {}  # b's day; the winner over batch 0 stays, unseen
+    write(store, [("a", 1)], 0)
+    assert content(store) == {} and store.compact() == 1 and content(store) == {}
     later = DAY + dt.timedelta(days=40)
-    assert store.purge(later) == 2 and content(store, later) == {}
+    assert store.purge(later) == 1 and content(store, later) == {} and store.versions().count() == 0
 
 
 def test_a_run_keeps_its_id_over_restarts(spark, tmp_path):

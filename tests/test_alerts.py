@@ -81,9 +81,20 @@ def test_nan_amount_does_not_fail(spark):
 def test_histogram_ends_and_equal_values(spark):
     values = spark.createDataFrame([(float(v),) for v in range(31)], "x double")
     bins = {r.bin: r.n for r in st.histogram(values, "x", 30).collect()}
-    assert bins == {**{b: 1 for b in range(29)}, 29: 2}
+    assert bins == {b: 1 for b in range(31)}
     same = spark.createDataFrame([(4.0,)] * 5, "x double")
-    assert [(r.bin, r.bin_start, r.bin_end, r.n) for r in st.histogram(same, "x").collect()] == [(0, 4.0, 4.0, 5)]
+    assert [(r.bin, r.bin_start, r.bin_end, r.n) for r in st.histogram(same, "x").collect()] == [(0, 4.0, 5.0, 5)]
+
+
+def test_histogram_has_round_and_empty_bins(spark):
+    values = spark.createDataFrame([(v,) for v in (-7.0, 3.0, 93.0, float("inf"), float("-inf"), float("nan"), None)], "x double")
+    got = [tuple(r) for r in st.histogram(values, "x", 30).orderBy("bin").collect()]
+    assert len(got) == 21 and got[0] == (0, -10.0, -5.0, 1) and got[2] == (2, 0.0, 5.0, 1) and got[20] == (20, 90.0, 95.0, 1)
+    assert sum(n for *_, n in got) == 3 and got[1] == (1, -5.0, 0.0, 0)
+    for lo, hi in ((0.0, 0.3), (1.0, 1e9), (-3e-4, 5e-4)):
+        two = spark.createDataFrame([(lo,), (hi,)], "x double")
+        bins = st.histogram(two, "x", 30).count()
+        assert 12 <= bins <= 31
 
 
 def test_display_labels(spark):

@@ -78,10 +78,28 @@ def test_maintenance_purges_and_compacts(spark, lake, capsys):
     write(store, [("old", 1)], 0, today - dt.timedelta(days=31))
     write(store, [("a", 1)], 1, today)
     write(store, [("b", 1)], 2, today)
-    jobs.main(["maintain", "--compact-day", f"{today:%Y-%m-%d}"])
-    assert "|1" in _text(capsys).replace(" ", "")
+    jobs.main(["maintain", "--grace-minutes", "0", "--compact-day", f"{today:%Y-%m-%d}"])
+    assert "|2|1" in _text(capsys).replace(" ", "")
     assert {r.transaction_id for r in store.read().collect()} == {"a", "b"}
-    assert store.versions().select("part").distinct().count() == 1
+    assert {r.part for r in store.versions().select("part").distinct().collect()} == {"current", "r1-b2"}
+    jobs.main(["alerts", "--limit", "all"])
+    assert len(_text(capsys).strip().splitlines()) == 3
+    jobs.main(["alerts", "--limit", "1", "--limit-first", "--category", "travel"])
+    assert "|b" not in _text(capsys)
+
+
+def test_lean_forest_with_its_risk_table(spark, lake, capsys):
+    """Trained, saved with the category risk of the training rows, and served from a joint stream."""
+    source, sent, model = (str(lake / n) for n in ("pq", "sent", "model"))
+    txns = transactions(spark, "/root/testdata/sf0.01")
+    replay_file_rows(txns).write.parquet(source)
+    jobs.main(["train", "--input", source, "--recipe", "random_forest_lean", "--model", model])
+    assert "random_forest_lean" in _text(capsys)
+    jobs.main(["publish", "--input", source, "--folder", sent])
+    jobs.main(["stream", "--folder", sent, "--recipe", "random_forest_lean", "--model", model, "--threshold", "0.3", "--joint", "--until-empty"])
+    settings = Settings.from_env()
+    assert 50 < AlertStore(spark, settings.alerts_path).read().count() < 2000
+    assert spark.read.parquet(settings.archive_path).count() == 10000
 
 
 def test_bad_job_is_refused():

@@ -110,12 +110,26 @@ def test_csv_with_an_unnamed_index_column(spark, tmp_path):
     assert got.transaction_time == dt.datetime(2019, 1, 1, 0, 0, 18)
 
 
-def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
     names = TRAINING_CSV_SCHEMA.names
-    for file, order in (("a.csv", names), ("b.csv", names[::-1])):
-        (tmp_path / file).write_text(",".join(order) + "\n" + ",".join("1" for _ in order) + "\n")
-    with pytest.raises(Exception, match="header"):
-        read_training_csv(spark, str(tmp_path)).collect()
+    for file, order in (("a.csv", names), ("b.csv", names[::-1]), ("c.csv", ["", *names]), ("d.csv", ["", *names[::-1]])):
+        values = {n: f"{n} of {file}" for n in names if n in ("merchant", "category", "trans_num")}
+        cells = [values.get(n, "1") for n in order]
+        (tmp_path / file).write_text(",".join(order) + "\n" + ",".join(cells) + "\n")
+    rows = read_training_csv(spark, str(tmp_path)).orderBy("trans_num").collect()
+    assert [(r.trans_num, r.merchant, r.category) for r in rows] == [
+        tuple(f"{n} of {f}.csv" for n in ("trans_num", "merchant", "category")) for f in "abcd"]
+    (tmp_path / "e.csv").write_text("1,2\n")
+    with pytest.raises(ValueError, match="e.csv"):
+        read_training_csv(spark, str(tmp_path))
+
+
+def test_csv_cells_that_do_not_fit_are_kept_as_text(spark, tmp_path):
+    names = TRAINING_CSV_SCHEMA.names
+    rows = [["much" if n == "amt" and bad else "1" for n in names] for bad in (True, False)]
+    (tmp_path / "a.csv").write_text("\n".join(map(",".join, [names, *rows])) + "\n")
+    got = read_training_csv(spark, str(tmp_path), bad_rows="bad").select("amt", "bad").collect()
+    assert {(r.amt, r.bad) for r in got} == {(1.0, None), (None, ",".join(rows[0]))}
 
 
 def test_csv_without_a_needed_column_is_refused(spark, tmp_path):

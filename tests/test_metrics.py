@@ -90,3 +90,33 @@ def test_statistics_of_odd_alerts(spark):
     row = stats.alert_stats_maps(alerts).first()
     assert (row.total_alerts, row.total_amount, row.avg_amount) == (4, 10.0, 10.0) == tuple(stats.alert_stats(alerts).first())
     assert row.by_category == {"null": 2, "a": 2} and row.by_state == {"TX": 2}
+
+
+def test_area_and_splits_by_brute_force(spark):
+    import random
+    from riskstream.operators import ordered
+    draw = random.Random(2)
+    rows = [(draw.choice([0.1, 0.5, draw.random(), draw.random(), None, float("nan")]), float(draw.randrange(9)), draw.choice([0, 0, 1, None])) for _ in range(800)]
+    df = spark.createDataFrame(rows, "score double, k double, is_fraud int")
+    known = [(s, y) for s, _, y in rows if s is not None and s == s and y is not None]
+    good, bad = [s for s, y in known if y == 1], [s for s, y in known if y == 0]
+    area = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / len(good) / len(bad)
+    assert abs(ordered.area_under_curve(df.where("not isnan(score)"), "score", "is_fraud").first().auc - area) < 1e-12
+    assert ordered.area_under_curve(df.where("is_fraud = 1"), "score", "is_fraud").first().auc is None
+    assert ordered.area_under_curve(df.limit(0), "score", "is_fraud").first().auc is None
+
+    def gini(ys):
+        p = sum(ys) / len(ys)
+        return 2 * p * (1 - p)
+
+    got = {r.feature: r for r in ordered.split_search(df, ["score", "k"], "is_fraud").collect()}
+    for at, name in ((0, "score"), (1, "k")):
+        pairs = [(r[at], r[2]) for r in rows if r[at] is not None and r[at] == r[at] and r[2] is not None]
+        tries = []
+        for cut in sorted({v for v, _ in pairs})[:-1]:
+            left, right = [y for v, y in pairs if v <= cut], [y for v, y in pairs if v > cut]
+            tries.append((round(gini([y for _, y in pairs]) - (len(left) * gini(left) + len(right) * gini(right)) / len(pairs), 9), -cut, len(left), sum(left)))
+        gain, cut, n_left, pos_left = max(tries)
+        assert abs(got[name].gain - gain) < 2e-9 and got[name].n == len(pairs)
+        assert (got[name].threshold, got[name].n_left, got[name].pos_left) == (-cut, n_left, pos_left)
+    assert ordered.split_search(df.limit(0), ["k"], "is_fraud").count() == 0

@@ -14,7 +14,9 @@ from riskstream.operators.quality import drop_resent
 from riskstream.operators.stats import batch_progress
 from riskstream.plans.transactions import replay_file_rows, transactions, with_rule_prediction
 from riskstream.sinks.alert_store import AlertStore
+from riskstream.sinks.files import compact_archive_day
 from riskstream.sources import messages as ms
+from riskstream.sources.tables import read_archive
 from riskstream.streaming import runner
 
 DATE = dt.date(2024, 6, 30)
@@ -125,7 +127,7 @@ def test_a_batch_without_alerts_leaves_no_folder(spark, small, folder, tmp_path)
     never = lambda batch: batch.withColumn("prediction", (F.col("amount") > 1e9).cast("double"))
     nothing = runner.AlertBatch(never, store, progress_path=str(tmp_path / "progress"))
     runner.finish([_alert_query(spark, folder, tmp_path, nothing)])
-    assert not (tmp_path / "alerts").exists() and store.read().isEmpty()
+    assert not list((tmp_path / "alerts").rglob("*.parquet")) and store.read().isEmpty()
     assert spark.read.parquet(str(tmp_path / "progress")).first().n == transactions(spark, small).count() + 1
 
 
@@ -134,14 +136,14 @@ def test_an_empty_batch_writes_nothing(spark, folder, tmp_path):
     on_batch = runner.AlertBatch(with_rule_prediction, AlertStore(spark, str(tmp_path / "alerts")),
                                  progress_path=str(tmp_path / "progress"))
     on_batch(batch, 0)
-    assert not (tmp_path / "alerts").exists() and not (tmp_path / "progress").exists()
+    assert not list((tmp_path / "alerts").rglob("*.parquet")) and not (tmp_path / "progress").exists()
 
 
 def test_alerts_are_gathered_into_few_files(spark, folder, tmp_path):
     store = AlertStore(spark, str(tmp_path / "alerts"))
     runner.finish([_alert_query(spark, folder, tmp_path, runner.AlertBatch(with_rule_prediction, store))])
-    (batch,) = (tmp_path / "alerts").iterdir()
-    assert len(list(batch.glob("*.parquet"))) == 1
+    (batch,) = (tmp_path / "alerts" / "log").iterdir()
+    assert len(list(batch.rglob("*.parquet"))) == 1
 
 
 def test_one_failing_query_ends_the_wait_and_stops_the_others(spark, folder, tmp_path):
@@ -173,5 +175,78 @@ def test_resent_ids_are_dropped_within_the_watermark(spark, folder, small, tmp_p
     assert out.count() == out.select("transaction_id").distinct().count() == transactions(spark, small).count()
 
 
+def _joint(spark, folder, settings, score=with_rule_prediction):
+    stream = ms.file_stream(spark, str(folder), max_files_per_trigger=2)
+    queries = runner.start_joint(spark, stream, settings, score, F.lit(DATE))
+    runner.finish(queries)
+    return queries
+
+
+def test_one_query_feeds_all_sinks(spark, small, folder, tmp_path):
+    settings, txns = _settings(tmp_path), transactions(spark, small)
+    (query,) = _joint(spark, folder, settings)
+    read = sum(p.numInputRows for p in query.recentProgress)
+    assert read == txns.count() + 2  # each message is read once, for all sinks
+    archive = read_archive(spark, settings.archive_path).drop("kafka_timestamp")
+    assert archive.count() == txns.count() + 1 and _same(archive.distinct(), with_features(txns, F.lit(DATE)))
+    alerts = AlertStore(spark, settings.alerts_path).read()
+    assert alerts.count() == txns.filter("amount > 100").count()
+    assert [r.raw_value for r in spark.read.parquet(settings.bad_records_path).collect()] == ["garbage"]
+    progress = runner.read_progress(spark, settings.progress_path).collect()
+    assert sum(r.n for r in progress) == txns.count() + 1 and sum(r.bad for r in progress) == 1
+    assert all(r.seconds > 0 and r.rows_per_second > 0 for r in progress)
+    runner.compact_progress(spark, settings.progress_path)
+    assert sorted(runner.read_progress(spark, settings.progress_path).collect()) == sorted(progress)
+    with pytest.raises(ValueError, match="file stream"):
+        (tmp_path / "lake/archive/transactions/_spark_metadata").mkdir()
+        _joint(spark, folder, settings)
+
+
+def test_a_replayed_joint_batch_changes_nothing(spark, small, folder, tmp_path):
+    lake = _settings(tmp_path)
+    store = AlertStore(spark, lake.alerts_path, run_id=1)
+    on_batch = runner.JointBatch(runner.AlertBatch(with_rule_prediction, store, lake.progress_path), lake.archive_path,
+                                 lake.bad_records_path, F.lit(DATE))
+    messages = ms.file_messages(spark, str(folder))
+    for _ in range(2):
+        on_batch(messages, 0)
+    assert read_archive(spark, lake.archive_path).count() == transactions(spark, small).count() + 1
+    assert spark.read.parquet(lake.bad_records_path).count() == runner.read_progress(spark, lake.progress_path).count() == 1
+    on_batch(messages.limit(0), 1)
+    assert runner.read_progress(spark, lake.progress_path).count() == 1
+
+
+def test_archive_files_are_bounded_and_a_finished_day_is_merged(spark, small, folder, tmp_path):
+    """Rows in random order: a batch adds one small file to each day it touches, not one per task."""
+    lake = _settings(tmp_path)
+    days = transactions(spark, small).select(F.to_date("transaction_time").alias("d")).distinct().count()
+    _joint(spark, folder, lake)
+    files = list((tmp_path / "lake/archive").rglob("*.parquet"))
+    assert len(files) <= 3 * days  # three batches of two files each
+    day = dt.date(2024, 1, 2)
+    before = sorted(map(str, read_archive(spark, lake.archive_path, day, day).collect()))
+    assert compact_archive_day(spark, lake.archive_path, day) > 1 and before
+    assert sorted(map(str, read_archive(spark, lake.archive_path, day, day).collect())) == before
+    assert len(list((tmp_path / f"lake/archive/transactions/date={day}").rglob("*.parquet"))) == 1
+    assert compact_archive_day(spark, lake.archive_path, day) == 1
+
+
+def test_settings_turn_on_dead_letters_and_duplicate_removal(spark, small, folder, tmp_path):
+    lake = Settings.from_env({"LAKE_ROOT": str(tmp_path / "lake"), "ALERT_TRIGGER": runner.AVAILABLE_NOW, "DEAD_LETTERS": "yes",
+                              "ARCHIVE_TRIGGER": runner.AVAILABLE_NOW, "DROP_RESENT_WITHIN": "90 days"})
+    assert Settings.from_env({}).dead_letter_path is None
+    _joint(spark, folder, lake, _broken)
+    assert read_archive(spark, lake.archive_path).count() == transactions(spark, small).count()  # sent twice, kept once
+    assert spark.read.parquet(lake.dead_letter_path).filter("transaction_id is not null").count() == transactions(spark, small).count()
+    other = Settings.from_env({"LAKE_ROOT": str(tmp_path / "lake2"), "ALERT_TRIGGER": runner.AVAILABLE_NOW, "DEAD_LETTERS": "1",
+                               "ARCHIVE_TRIGGER": runner.AVAILABLE_NOW, "DROP_RESENT_WITHIN": "90 days"})
+    _run(spark, folder, other, _broken)
+    assert spark.read.parquet(other.archive_path).count() == transactions(spark, small).count()
+    assert spark.read.parquet(other.dead_letter_path).count() == transactions(spark, small).count()
+
+
 def test_missing_model_means_archive_only(spark, tmp_path):
     assert runner.load_model(str(tmp_path / "nothing")) is None
+    (tmp_path / "broken" / "metadata").mkdir(parents=True)
+    with pytest.raises(Exception):
+        runner.load_model(str(tmp_path / "broken"))

@@ -118,3 +118,10 @@ def test_error_mode_refuses_incomplete_rows(rows):
     assert tr.score(model, recipe, rows.filter("dob is not null")).count() > 0
     with pytest.raises(Exception, match="null"):
         tr.score(model, recipe, rows.filter("dob is null")).collect()
+
+
+def test_one_model_whatever_the_pieces(spark, rows):
+    """Sampling goes by piece and place; the same rows in other pieces and orders give the same forest."""
+    forests = [tr.fit(tr.RANDOM_FOREST_SMALL, part).stages[-1].toDebugString.partition("\n")[2]
+               for part in (rows.coalesce(1), rows.repartition(5, "merchant").sortWithinPartitions("amount"))]
+    assert forests[0] == forests[1]
