@@ -57,10 +57,30 @@ def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: flo
     return bands, rows
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered while there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+    def of_words(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def of(self, text: str) -> np.ndarray:
+        """One hash per word of ``text``, in any case."""
+        return self.of_words(text.lower().encode("utf-8", "surrogatepass").split())
+
+
+_HASHES = WordHashes()
+
+
 def _shingles(text: str) -> np.ndarray:
     """64-bit hashes of the word shingles, one of all words if they are few."""
-    words = text.split(" ")
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    words = text.encode("utf-8", "surrogatepass").split(b" ")
+    hashes = _HASHES.of_words(words)
     width = min(SHINGLE, len(words))
     mixed = np.zeros(len(words) - width + 1, dtype=np.uint64)
     for at in range(width):
@@ -250,21 +270,6 @@ def repeated_paragraphs(docs: DataFrame, own: DataFrame) -> DataFrame:
             .agg(F.collect_list(F.struct("pos", "size")).alias("paragraphs")))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def of(self, text: str) -> np.ndarray:
-        """One hash per word of ``text``, in any case."""
-        words = text.lower().encode("utf-8", "surrogatepass").split()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def _powers(base: int, count: int) -> np.ndarray:
     """base ** 0, 1, ... modulo 2**64, at least ``count`` of them; remembered, and doubled when they run out."""
     known = _KNOWN_POWERS.get(base)
@@ -384,6 +389,8 @@ def covered(starts: np.ndarray, width: int, size: int) -> np.ndarray:
 
 def without_words(text: str, gone: np.ndarray) -> str:
     """``text`` without the words marked in ``gone``, each with the blanks up to the next word."""
+    if gone.all():
+        return ""
     starts = [m.start() for m in _WORD.finditer(text)] + [len(text)]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])))).reshape(-1, 2)
     return "".join([text[starts[a] if a else 0:starts[b]] for a, b in edges.tolist()])
