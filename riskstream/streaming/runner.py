@@ -159,6 +159,18 @@ def compact_progress(spark: SparkSession, path: str) -> None:
             remove_folder(spark, f"{path}/{name}")
 
 
+def sorted_out(messages: DataFrame) -> DataFrame:
+    """Each message once: ``good`` has the fields of a readable transaction, ``raw_value`` and ``missing`` are
+    those of an unusable message. What a message does not have is null as a whole, so that a kept piece is
+    about as large as its text, also where millions of short messages are no transactions."""
+    parsed = with_missing(parse_messages(messages, keep_raw=True))
+    fields = F.struct(*[c for c in parsed.columns if c not in ("kafka_timestamp", "raw_value", "missing")])
+    return parsed.select(
+        "kafka_timestamp", F.when(~is_bad(), fields).alias("good"),
+        *[F.when(is_bad(), F.col(c)).alias(c) for c in ("raw_value", "missing")],
+    )
+
+
 @dataclass
 class JointBatch:
     """One micro-batch of messages to all sinks, parsed once and kept while they are written.
@@ -176,32 +188,37 @@ class JointBatch:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         started, read = time.monotonic(), Observation()
         part = f"r{self.alerts.store.run_id}-b{batch_id}"
-        kept = with_features(parse_messages(batch, keep_raw=True), self.as_of).persist()
+        kept = sorted_out(batch).persist()
         try:
-            counted = {"n": F.count_if(~is_bad()), "bad": F.count_if(is_bad())}
+            counted = {"n": F.count("good"), "bad": F.count("missing")}
             seen = kept.observe(read, *[c.alias(name) for name, c in counted.items()])
-            write_archive_batch(seen.filter(~is_bad()).drop("raw_value"), self.archive_path, part)
+            write_archive_batch(self._good(seen), self.archive_path, part)
             counts = _observed(read, kept, counted)
             if counts["bad"]:
-                bad = with_missing(kept.filter(is_bad())).select("raw_value", "kafka_timestamp", "missing")
+                bad = kept.filter("missing is not null").select("raw_value", "kafka_timestamp", "missing")
                 bad.write.mode("overwrite").parquet(f"{self.bad_records_path}/part={part}")
             if counts["n"] and self.scoring:
-                counts |= self._alerted(kept, batch_id)
+                counts |= self._alerted(kept, batch, batch_id)
             if counts["n"] or counts["bad"]:
                 self.alerts.record(batch.sparkSession, batch_id, {"fraud": 0, "alerts": 0, "caught": 0} | counts,
                                    time.monotonic() - started)
         finally:
             kept.unpersist()
 
-    def _alerted(self, kept: DataFrame, batch_id: int) -> dict[str, int]:
+    def _good(self, kept: DataFrame) -> DataFrame:
+        """The readable transactions with their features."""
+        return with_features(kept.filter("good is not null").select("good.*", "kafka_timestamp"), self.as_of)
+
+    def _alerted(self, kept: DataFrame, batch: DataFrame, batch_id: int) -> dict[str, int]:
         """A failing scorer spares the other sinks where dead letters are kept."""
         try:
-            return self.alerts.alert(kept.filter(~is_bad()).drop("raw_value"), batch_id)
+            return self.alerts.alert(self._good(kept), batch_id)
         except Exception:
             if self.alerts.dead_letter_path is None:
                 raise
             log.exception("batch %s cannot be scored and goes to the dead-letter folder", batch_id)
-            kept.write.mode("overwrite").parquet(f"{self.alerts.dead_letter_path}/run={self.alerts.run}/batch_id={batch_id}")
+            rows = with_features(parse_messages(batch, keep_raw=True), self.as_of)
+            rows.write.mode("overwrite").parquet(f"{self.alerts.dead_letter_path}/run={self.alerts.run}/batch_id={batch_id}")
             return {}
 
 

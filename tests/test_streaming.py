@@ -14,7 +14,7 @@ from riskstream.operators.quality import drop_resent
 from riskstream.operators.stats import batch_progress
 from riskstream.plans.transactions import replay_file_rows, transactions, with_rule_prediction
 from riskstream.sinks.alert_store import AlertStore
-from riskstream.sinks.files import compact_archive_day
+from riskstream.sinks.files import compact_archive_day, write_archive_batch
 from riskstream.sources import messages as ms
 from riskstream.sources.tables import read_archive
 from riskstream.streaming import runner
@@ -216,6 +216,24 @@ def test_a_replayed_joint_batch_changes_nothing(spark, small, folder, tmp_path):
     assert runner.read_progress(spark, lake.progress_path).count() == 1
 
 
+def test_messages_that_are_no_transactions_are_kept_as_small_as_they_are(spark, tmp_path, monkeypatch):
+    """Many short foreign messages in one task: no column of the transaction they are not is kept for them."""
+    lake, n, kept = _settings(tmp_path), 20_000, []
+
+    def write_and_look(*args):
+        write_archive_batch(*args)
+        kept.extend(r.memSize() + r.diskSize() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo() if r.isCached())
+
+    monkeypatch.setattr(runner, "write_archive_batch", write_and_look)
+    store = AlertStore(spark, lake.alerts_path, run_id=1)
+    on_batch = runner.JointBatch(runner.AlertBatch(with_rule_prediction, store, lake.progress_path), lake.archive_path,
+                                 lake.bad_records_path, F.lit(DATE))
+    foreign = F.concat(F.lit('{"k": '), F.col("id") % 100, F.lit("}")).alias("value")
+    on_batch(spark.range(0, n, 1, 1).select(foreign, F.current_timestamp().alias("timestamp")), 0)
+    assert spark.read.parquet(lake.bad_records_path).groupBy("missing").count().first()["count"] == n
+    assert kept and max(kept) < 40 * n
+
+
 def test_archive_files_are_bounded_and_a_finished_day_is_merged(spark, small, folder, tmp_path):
     """Rows in random order: a batch adds one small file to each day it touches, not one per task."""
     lake = _settings(tmp_path)
