@@ -17,17 +17,20 @@ is their union: the whole common passage.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import bucket_components, bucketed, result_only, shared_buckets, written
+from riskstream.llm.common import bucket_components, bucketed, result_only, shared_buckets, stored, written
+from riskstream.session import remove_folder
 
 SHINGLE, THRESHOLD, LEAST_WORDS = 5, 0.8, 20
 #: Words of a passage, and of the shingles that find it.
@@ -36,12 +39,11 @@ PASSAGE, ANCHOR = 50, 20
 RECALL, FALSE = 0.995, 0.5
 #: Longs of a paragraph's bit sketch.
 SKETCH = 16
-#: Words whose shingles are hashed at a time.
-WORDS = 200_000
-#: Words whose hashes a task remembers.
-REMEMBERED = 200_000
+#: Code points of the texts whose words are hashed at a time.
+CHARS = 1_000_000
+#: Hashes of passages that are sent on at once.
+STRETCHES = 200_000
 _BLANK = " \t\n\x0b\f\r"
-_BLANKS = re.compile(f"[{_BLANK}]+")
 _WORD = re.compile(f"[^{_BLANK}]+")
 #: Odd base of the polynomial hashes, and its inverse, modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
@@ -57,43 +59,58 @@ def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, false: flo
     return bands, rows
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered while there is room."""
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each text, the 64-bit hashes of all words in a row, the words of each text with one blank between
+    them). The texts are split together, and each word is hashed once."""
+    trimmed = pc.ascii_trim_whitespace(pa.array(texts, pa.large_string()))
+    split = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), pa.scalar(None, pa.large_string()), trimmed))
+    words = split.flatten().dictionary_encode()
+    known = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, known), dtype=np.uint64, count=len(known))
+    counts = pc.fill_null(split.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    joined = pc.binary_join(split, pa.scalar(" ", pa.large_string())).to_numpy(zero_copy_only=False)
+    return counts, known[words.indices.to_numpy(zero_copy_only=False)], joined
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
 
-    def of_words(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+def lower_parts(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts in lower case, some at a time."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text.lower())
+        size += len(text)
+        if size >= CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
-    def of(self, text: str) -> np.ndarray:
-        """One hash per word of ``text``, in any case."""
-        return self.of_words(text.lower().encode("utf-8", "surrogatepass").split())
+
+def text_hashes(texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """The hashes of the words of each text, in any case."""
+    for part in lower_parts(texts):
+        counts, hashes, _ = hashed(part)
+        yield from np.split(hashes, np.cumsum(counts)[:-1])
 
 
-_HASHES = WordHashes()
+class WordHashes:
+    """The hashes of the words of one text."""
+
+    def of(self, text: str) -> np.ndarray:
+        return next(text_hashes([text]))
 
 
-def _shingles(text: str) -> np.ndarray:
+def _shingles(hashes: np.ndarray) -> np.ndarray:
     """64-bit hashes of the word shingles, one of all words if they are few."""
-    words = text.encode("utf-8", "surrogatepass").split(b" ")
-    hashes = _HASHES.of_words(words)
-    width = min(SHINGLE, len(words))
-    mixed = np.zeros(len(words) - width + 1, dtype=np.uint64)
+    width = min(SHINGLE, len(hashes))
+    mixed = np.zeros(len(hashes) - width + 1, dtype=np.uint64)
     for at in range(width):
         mixed = (mixed ^ hashes[at:at + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
     return mixed
 
 
-def band_hashes(texts: pd.Series, bands: int, rows: int) -> list[np.ndarray]:
-    """The band hashes of each text, a batch at a time."""
-    parts = [_shingles(t) for t in texts]
-    if not parts:
-        return []
+def band_hashes(parts: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """The band hashes of each paragraph out of its shingles' hashes."""
     flat = np.concatenate(parts)
     starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1]))
     seeds = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, size=(bands * rows, 2), dtype=np.uint64) | np.uint64(1)
@@ -104,7 +121,7 @@ def band_hashes(texts: pd.Series, bands: int, rows: int) -> list[np.ndarray]:
         least = np.minimum.reduceat(turned * np.uint64(0xD6E8FEB86659FD93), starts)
         band = n // rows
         out[:, band] = (out[:, band] ^ least) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1)
-    return list(out.view(np.int64))
+    return out.view(np.int64)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -112,8 +129,8 @@ def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The number of distinct shingles, and ``SKETCH`` longs with a bit for each shingle's hash."""
     for batch in texts:
         out = []
-        for text in batch:
-            found = np.unique(_shingles(text))
+        for hashes in text_hashes(batch):
+            found = np.unique(_shingles(hashes))
             bits = np.zeros(64 * SKETCH, dtype=np.uint8)
             bits[found % np.uint64(64 * SKETCH)] = 1
             out.append([len(found), *np.packbits(bits).view(np.int64).tolist()])
@@ -150,58 +167,84 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def units(text: str) -> Iterator[tuple[int, int, str]]:
-    """(number of the first word, words, the words themselves) of each paragraph of ``text``."""
-    run: list[str] = []
-    start = size = at = 0
-    for line in text.split("\n"):
-        words = _BLANKS.sub(" ", line.lower()).strip(" ")
-        count = words.count(" ") + 1 if words else 0
+def spans(counts: Iterable[int]) -> Iterator[tuple[int, int, int, int]]:
+    """(first line, line after the last, number of the first word, words) of each paragraph of a text, of which
+    ``counts`` are the words of its lines."""
+    first = start = size = at = line = 0
+    for line, count in enumerate(counts):
         if 0 < count < LEAST_WORDS:
-            start = start if run else at
-            run.append(words)
+            if not size:
+                first, start = line, at
             size += count
             at += count
             continue
         if size >= LEAST_WORDS:
-            yield start, size, " ".join(run)
-        run, size = [], 0
+            yield first, line, start, size
+        size = 0
         if count:
-            yield at, count, words
+            yield line, line + 1, at, count
         at += count
     if size >= LEAST_WORDS:
-        yield start, size, " ".join(run)
+        yield first, line + 1, start, size
 
 
-def paragraph_rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(doc_id, slot, key, pos, size, pid, bands): the paragraphs, their words and band hashes; ``slot``
-    and ``key`` name the document."""
+def units(text: str) -> Iterator[tuple[int, int, str]]:
+    """(number of the first word, words, the words themselves) of each paragraph of ``text``."""
+    lines = [line.split() for line in text.lower().encode("utf-8", "surrogatepass").split(b"\n")]
+    for first, last, at, size in spans(map(len, lines)):
+        yield at, size, b" ".join(chain.from_iterable(lines[first:last])).decode("utf-8", "surrogatepass")
+
+
+def document_rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """One look at each text for both searches: (doc_id, slot, key, pos, size, pid, bands) of its paragraphs, their words
+    and band hashes, and one more row with its (anchors), the hashes of the kept shingles, if any. ``slot`` and ``key``
+    name the document."""
+    longs = T.ArrayType(T.LongType())
     schema = T.StructType([*docs.select("doc_id", "slot", "key").schema.fields, T.StructField("pos", T.IntegerType()),
                            T.StructField("size", T.IntegerType()), T.StructField("pid", T.LongType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", longs), T.StructField("anchors", longs)])
 
-    def packed(batch: pa.RecordBatch, found: list[tuple[int, int, int, str]]) -> pa.RecordBatch:
+    def packed(batch: pa.RecordBatch, index: list[int], *columns: pa.Array) -> pa.RecordBatch:
+        named = [batch.column(c).take(pa.array(index, pa.int32())) for c in ("doc_id", "slot", "key")]
+        return pa.RecordBatch.from_arrays([*named, *columns], schema.names)
+
+    def paragraphs_in(batch: pa.RecordBatch, found: list[tuple[int, int, int, str]], shingles: list[np.ndarray]) -> pa.RecordBatch:
         index, pos, sizes, words = zip(*found, strict=True)
         pids = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
-        hashes = np.concatenate(band_hashes(pd.Series(words), bands, rows))
-        offsets = np.arange(0, len(hashes) + 1, bands, dtype=np.int32)
-        named = [batch.column(c).take(pa.array(index)) for c in ("doc_id", "slot", "key")]
-        columns = [*named, pa.array(pos, pa.int32()), pa.array(sizes, pa.int32()), pa.array(pids),
-                   pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))]
-        return pa.RecordBatch.from_arrays(columns, schema.names)
+        hashes = [*band_hashes(shingles, bands, rows)]
+        return packed(batch, index, pa.array(pos, pa.int32()), pa.array(sizes, pa.int32()), pa.array(pids), _listed(hashes),
+                      pa.nulls(len(index), pa.list_(pa.int64())))
+
+    def anchors_in(batch: pa.RecordBatch, index: list[int], kept: list[np.ndarray]) -> pa.RecordBatch:
+        nothing = [pa.nulls(len(index), t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))]
+        return packed(batch, index, *nothing, _listed(kept))
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, size = [], 0
-            for at, text in enumerate(batch.column("text")):
-                for pos, count, words in units(text.as_py() or ""):
-                    found.append((at, pos, count, words))
-                    size += count
-                    if size >= WORDS:
-                        yield packed(batch, found)
-                        found, size = [], 0
-            if found:
-                yield packed(batch, found)
+            at = 0
+            for part in lower_parts(text.as_py() or "" for text in batch.column("text")):
+                lines = [text.split("\n") for text in part]
+                counts, hashes, words = hashed([*chain.from_iterable(lines)])
+                mixed = _shingles(hashes) if len(hashes) else hashes
+                counts, line, word = counts.tolist(), 0, 0
+                found, shingles, marked, kept = [], [], [], []
+                for n, own in enumerate(lines, at):
+                    sizes = counts[line:line + len(own)]
+                    for first, last, pos, size in spans(sizes):
+                        found.append((n, pos, size, " ".join(words[line + first:line + last])))
+                        shingles.append(mixed[word + pos:word + pos + size - SHINGLE + 1])
+                    total = sum(sizes)
+                    marks = np.unique(anchors(hashes[word:word + total])[1])
+                    if len(marks):
+                        marked.append(n)
+                        kept.append(marks)
+                    line += len(own)
+                    word += total
+                if found:
+                    yield paragraphs_in(batch, found, shingles)
+                if marked:
+                    yield anchors_in(batch, marked, kept)
+                at += len(part)
 
     return docs.select("doc_id", "slot", "key", "text").mapInArrow(found_in, schema)
 
@@ -242,12 +285,10 @@ def first_copies(docs: DataFrame) -> DataFrame:
     return written(names.join(first, "key").select("slot", "key", (place != F.col("first")).alias("whole")), "copies")
 
 
-def repeated_paragraphs(docs: DataFrame, own: DataFrame) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(slot_, key_, paragraphs): for each document that loses paragraphs, the (pos, size) they have.
-    ``docs`` (doc_id, text, slot, key) is bucketed by slot; looked at are those of ``own`` (slot_, key_)."""
-    bands, rows = tuned_bands()
-    texts = in_documents(docs, own, "left_semi").dropDuplicates(["slot", "key"])
-    places = written(paragraph_rows(texts, bands, rows), "paragraphs")
+    ``docs`` (doc_id, text, slot, key) is bucketed by slot; ``rows`` are the ``document_rows`` of those looked at."""
+    places = rows.where("pid is not null").drop("anchors")
     buckets = shared_buckets(places.select(F.explode("bands").alias("bucket"), F.col("pid").alias("id")))
     wanted = buckets.select(F.col("id").alias("pid")).distinct()
     texts = written(texts_of(docs, places, wanted), "texts")
@@ -318,58 +359,39 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, found[at]
 
 
-def _lists(batch: pa.RecordBatch, rows: list[int], lists: list[np.ndarray], names: list[str], more: str) -> pa.RecordBatch:
+def _listed(lists: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-    flat = np.concatenate(lists).view(np.int64)
-    return pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(rows, pa.int32())) for c in names],
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], [*names, more])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists).view(np.int64)))
 
 
-def _each(names: list[str], more: str, hashed: Callable[[WordHashes, pa.RecordBatch, int], np.ndarray]):
-    """For ``mapInArrow``: columns ``names`` and the distinct hashes that ``hashed`` finds in each row, if any."""
+def repeated_passages(docs: DataFrame, own: DataFrame, rows: DataFrame) -> DataFrame:
+    """(slot_, key_, passages): for each document with passages of earlier documents, their hashes. Looked at are the
+    documents ``own`` (slot_, key_); other arguments as for ``repeated_paragraphs``."""
+    rows = rows.where("pid is null").select("slot", F.explode("anchors").alias("anchor"))
+    shared = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared")
+    around = rows.join(shared, "anchor").groupBy("slot").agg(F.collect_list("anchor").alias("anchors"))
+    texts = in_documents(docs, own.join(around, F.col("slot_") == F.col("slot")).drop("slot"), "inner").dropDuplicates(["slot", "key"])
 
-    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+    def near_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            marks = batch.column("anchors")
             rows, lists, size = [], [], 0
-            for at in range(len(batch)):
-                found = np.unique(hashed(words, batch, at))
+            for at, hashes in enumerate(text_hashes(text.as_py() for text in batch.column("text"))):
+                places, found = anchors(hashes)
+                places = places[np.isin(found, marks[at].values.to_numpy().view(np.uint64))]
+                stretches = stretch_hashes(hashes, PASSAGE)
+                found = np.unique(stretches[covered(places - (PASSAGE - ANCHOR), PASSAGE - ANCHOR + 1, len(stretches))])
                 if len(found):
                     rows.append(at)
                     lists.append(found)
                     size += len(found)
-                if size >= WORDS or (at == len(batch) - 1 and rows):
-                    yield _lists(batch, rows, lists, names, more)
+                if rows and (size >= STRETCHES or at == len(batch) - 1):
+                    named = [batch.column(c).take(pa.array(rows, pa.int32())) for c in ("doc_id", "slot")]
+                    yield pa.RecordBatch.from_arrays([*named, _listed(lists)], ["doc_id", "slot", "passages"])
                     rows, lists, size = [], [], 0
 
-    return found_in
-
-
-def repeated_passages(docs: DataFrame, own: DataFrame) -> DataFrame:
-    """(slot_, key_, passages): for each document with passages of earlier documents, their hashes.
-    Arguments as for ``repeated_paragraphs``."""
-    texts = in_documents(docs, own, "left_semi").dropDuplicates(["slot", "key"])
-
-    def kept_shingles(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
-        return anchors(words.of(batch.column("text")[at].as_py()))[1]
-
-    kept = written(texts.select("slot", "text").mapInArrow(
-        _each(["slot"], "anchors", kept_shingles), "slot long, anchors array<long>"), "anchors")
-    rows = kept.select("slot", F.explode("anchors").alias("anchor"))
-    shared = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared")
-    around = rows.join(shared, "anchor").groupBy("slot").agg(F.collect_list("anchor").alias("anchors"))
-    texts = in_documents(docs, own.join(around, F.col("slot_") == F.col("slot")).drop("slot"), "inner").dropDuplicates(["slot", "key"])
-
-    def near_shared(words: WordHashes, batch: pa.RecordBatch, at: int) -> np.ndarray:
-        hashes = words.of(batch.column("text")[at].as_py())
-        places, found = anchors(hashes)
-        places = places[np.isin(found, batch.column("anchors")[at].values.to_numpy().view(np.uint64))]
-        stretches = stretch_hashes(hashes, PASSAGE)
-        return stretches[covered(places - (PASSAGE - ANCHOR), PASSAGE - ANCHOR + 1, len(stretches))]
-
     columns = "doc_id {}, slot long, passages array<long>".format(docs.schema["doc_id"].dataType.simpleString())
-    passages = written(texts.select("doc_id", "slot", "text", "anchors").mapInArrow(
-        _each(["doc_id", "slot"], "passages", near_shared), columns), "passages")
+    passages = written(texts.select("doc_id", "slot", "text", "anchors").mapInArrow(near_shared, columns), "passages")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "slot").alias("place")
     rows = passages.select(place, F.explode("passages").alias("passage"))
     repeated = (rows.groupBy("passage").agg(F.min("place").alias("first"), F.max("place").alias("last"))
@@ -398,9 +420,9 @@ def without_words(text: str, gone: np.ndarray) -> str:
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]))
 def cut(rows: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-    words = WordHashes()
     for texts, paragraphs, whole, passages in rows:
         out = []
+        each = text_hashes([text for text, hashes in zip(texts, passages, strict=True) if hashes is not None])
         for text, spans, copy, hashes in zip(texts, paragraphs, whole, passages, strict=True):
             if text is None or (spans is None and hashes is None and not copy):
                 out.append((text, 0))
@@ -412,7 +434,7 @@ def cut(rows: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
             for span in spans if spans is not None else ():
                 gone[span["pos"]:span["pos"] + span["size"]] = True
             if hashes is not None:
-                at = np.flatnonzero(np.isin(stretch_hashes(words.of(text), PASSAGE), np.asarray(hashes, dtype=np.int64).view(np.uint64)))
+                at = np.flatnonzero(np.isin(stretch_hashes(next(each), PASSAGE), np.asarray(hashes, dtype=np.int64).view(np.uint64)))
                 gone |= covered(at, PASSAGE, len(gone))
             out.append((without_words(text, gone) if gone.any() else text, int(gone.sum())))
         yield pd.DataFrame(out, columns=["text", "n"], index=texts.index)
@@ -435,11 +457,15 @@ def drop_repeated_paragraphs(docs: DataFrame, counted: str | None = None) -> Dat
     plain = kept.select("row.doc_id", "row.text", "slot", "key")
     named = first_copies(plain).withColumnsRenamed({"slot": "slot_", "key": "key_"})
     own = named.where(~F.col("whole")).select("slot_", "key_")
-    gone = (result_only(lambda: repeated_paragraphs(plain, own), "gone")
-            .unionByName(result_only(lambda: repeated_passages(plain, own), "gone"), allowMissingColumns=True)
+    texts = in_documents(plain, own, "left_semi").dropDuplicates(["slot", "key"])
+    rows, looked = stored(document_rows(texts, *tuned_bands()), "paragraphs")
+    gone = (result_only(lambda: repeated_paragraphs(plain, rows), "gone")
+            .unionByName(result_only(lambda: repeated_passages(plain, own, rows), "gone"), allowMissingColumns=True)
             .unionByName(named.where("whole"), allowMissingColumns=True).groupBy("slot_", "key_")
             .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("paragraphs", "whole", "passages")]))
-    found = in_documents(kept, written(gone, "removed"), "left")
+    removed = written(gone, "removed")
+    remove_folder(docs.sparkSession, looked)
+    found = in_documents(kept, removed, "left")
     changed = F.col("slot_").isNotNull()
     found = found.withColumn("cut", cut(F.when(changed, F.col("row.text")), "paragraphs", "whole", "passages"))
     text = F.when(changed, F.col("cut.text")).otherwise(F.col("row.text")).alias("text")

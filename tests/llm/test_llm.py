@@ -228,6 +228,22 @@ def test_passages_share_an_anchor(length):
         assert set(one.tolist()) & set(other.tolist())
 
 
+def test_words_are_hashed_once(monkeypatch):
+    """Texts are hashed together, each word once, as if one by one."""
+    import xxhash
+    texts = ["", " \n\n", "a\x1cb c \u0391\u03a3 \u03a3\nb\tC\x0bc\x0cd\rc", " Lead " + "w W " * 300, "c", "\u0130 a\u00a0b"]
+    calls = []
+
+    class Counted:
+        xxh3_64_intdigest = staticmethod(lambda word: calls.append(word) or xxhash.xxh3_64_intdigest(word))
+
+    monkeypatch.setattr(paragraphs, "xxhash", Counted)
+    got = [h.tolist() for h in paragraphs.text_hashes(texts)]
+    words = [t.lower().encode().split() for t in texts]
+    assert got == [[xxhash.xxh3_64_intdigest(w) for w in own] for own in words]
+    assert sorted(calls) == sorted({w for own in words for w in own})
+
+
 def test_paragraphs_odd_rows(spark, odd, empty):
     line = " ".join(f"w{i}" for i in range(60))
     more = spark.createDataFrame([(8, line + "\nown", "en", "a", 1, 1, "x"), (9, line + "\n" + line.replace("w59", "v"), "en", "a", 1, 1, "x")], SCHEMA)
