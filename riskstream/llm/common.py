@@ -13,6 +13,8 @@ from riskstream.session import fresh_folder, remove_folder
 
 #: A word is a run of anything but blank, tab, newline, vertical tab, form feed, carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Bytes of rows that go to Python and back at once.
+BATCH_BYTES = 4 << 20
 #: Members of a bucket that all others are held against first.
 CENTRES = 6
 
@@ -21,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets at most ``BATCH_BYTES`` of rows go to Python at once from here on in this session, unless it has a setting of
+    its own: a task holds such a batch several times over, in the JVM and in each of its Python workers."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` under the shared folder and read it back: later plans start from files that
     survive a lost executor and whose size the optimizer knows. Removed when the session ends."""

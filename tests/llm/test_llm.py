@@ -228,9 +228,30 @@ def test_passages_share_an_anchor(length):
         assert set(one.tolist()) & set(other.tolist())
 
 
+def test_small_batches(spark):
+    """A stage sends few bytes to Python at once, and a session's own setting stays."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    rows = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    stage = corpus_pipeline.lean(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "size long"))
+    try:
+        for own in (None, "1048576"):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            seen.append([r.size for r in stage(spark, rows, "").collect()])
+            assert spark.conf.get(name) == (own or str(common.BATCH_BYTES))
+    finally:
+        spark.conf.unset(name)
+    assert max(seen[0]) < 1.1 * common.BATCH_BYTES and max(seen[1]) < 1.2 * 1048576
+    assert all(30_000_000 < sum(found) < 31_000_000 for found in seen)
+
+
 def test_words_are_hashed_once(monkeypatch):
     """Texts are hashed together, each word once, as if one by one."""
-    import xxhash
     texts = ["", " \n\n", "a\x1cb c \u0391\u03a3 \u03a3\nb\tC\x0bc\x0cd\rc", " Lead " + "w W " * 300, "c", "\u0130 a\u00a0b"]
     calls = []
 
