@@ -147,3 +147,18 @@ def test_the_deep_forest_remembers_nodes_and_grows_the_same_trees(rows):
              for kept in (True, False)]
     with_nodes, without = (m.stages[-1].toDebugString.split("\n", 1)[1] for m in grown)
     assert with_nodes == without
+
+
+def test_the_trainer_reads_kept_vectors_and_nothing_stays(spark, rows):
+    seen = []
+
+    class Looking(DecisionTreeClassifier):
+        def fit(self, dataset, params=None):
+            seen.append((dataset.columns, dataset._jdf.queryExecution().toString()))
+            return super().fit(dataset, params)
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    tr.fit(replace(tr.DECISION_TREE, estimator=lambda: Looking(maxDepth=3, maxBins=64, seed=42)), rows)
+    (columns, plan), = seen
+    assert "InMemoryTableScan" in plan and "features" in columns and "in_amount" not in columns
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
