@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskstream.operators.features import with_extended_features
 from riskstream.operators.lookup import category_risk, with_category_risk
 from riskstream.operators.sampling import train_test
+from riskstream.plans import registry
 from riskstream.plans import training as tr
 from riskstream.plans.transactions import transactions
 from riskstream.schema import FOREST_FEATURES
@@ -162,3 +163,17 @@ def test_the_trainer_reads_kept_vectors_and_nothing_stays(spark, rows):
     (columns, plan), = seen
     assert "InMemoryTableScan" in plan and "features" in columns and "in_amount" not in columns
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+@pytest.mark.parametrize("name", ["model_facts", "model_comparison"])
+def test_models_are_compared_on_rows_made_once(spark, monkeypatch, name):
+    made, make = [], registry._model_rows
+    monkeypatch.setattr(registry, "_model_rows", lambda *a: made.append(a) or make(*a))
+    for constant, recipe in (("DECISION_TREE", "decision_tree"), ("RANDOM_FOREST_SMALL", "random_forest_small"), ("BOOSTED_TREES", "boosted_trees")):
+        monkeypatch.setattr(tr, constant, replace(tr.RECIPES[recipe], estimator=FEW[recipe]))
+    shared = registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert len(made) == 1
+    if name == "model_comparison":
+        alone = [registry._evaluated(spark, "/root/testdata/sf0.001", r, registry._train(spark, "/root/testdata/sf0.001", r)).first()
+                 for r in (tr.DECISION_TREE, tr.RANDOM_FOREST_SMALL, tr.BOOSTED_TREES)]
+        assert sorted(shared) == sorted(alone)
