@@ -14,15 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskstream.llm.common import written
 
 #: Rows of a block, rows of a group of blocks that travels together, queries that do, and results.
-BLOCK, GROUP, CHUNK, K = 256, 4_096, 256, 20
-#: Below this all sums of products are exact in double precision.
-EXACT = float(1 << 53)
+BLOCK, GROUP, CHUNK, K = 256, 4_096, 4_096, 20
+#: Bytes of a group as doubles, and of the groups that one task meets its queries with.
+GROUP_BYTES, PIECE_BYTES = 4 << 20, 64 << 20
+#: Below these all sums of products are exact in single and in double precision.
+EXACT_SINGLE, EXACT = float(1 << 24), float(1 << 53)
+#: How whole numbers are packed, by the bytes of one.
+KINDS = {1: "<i1", 2: "<i2", 4: "<f4", 8: "<f8"}
 
 
 def usable(vector: Column) -> Column:
@@ -30,60 +35,87 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
 
 
-def _packed(batch: pd.DataFrame, scale: int) -> tuple[bytes, bytes, int]:
-    """Ids, and the vectors as whole numbers, short ones filled up with zeros."""
-    rows = [np.floor(np.asarray(v, dtype=np.float64) * scale) for v in batch["vector"]]
-    width = max(map(len, rows))
-    matrix = np.zeros((len(rows), width))
-    for at, row in enumerate(rows):
-        matrix[at, : len(row)] = row
-    return batch["vec_id"].to_numpy(np.int64).tobytes(), matrix.astype("<f4" if np.abs(matrix).max(initial=0) < 1 << 24 else "<f8").tobytes(), width
+def _matrix(vectors: pa.ListArray, scale: int) -> np.ndarray:
+    """The vectors as whole numbers, short ones filled up with zeros."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    filled = np.arange(lengths.max(initial=0)) < lengths[:, None]
+    matrix = np.zeros(filled.shape)
+    matrix[filled] = np.floor(vectors.flatten().to_numpy(zero_copy_only=False) * scale)
+    return matrix
+
+
+def _packed(ids: np.ndarray, matrix: np.ndarray) -> tuple[bytes, bytes, int]:
+    most = np.abs(matrix).max(initial=0)
+    size = 1 if most < 1 << 7 else 2 if most < 1 << 15 else 4 if most < 1 << 24 else 8
+    return ids.tobytes(), matrix.astype(KINDS[size]).tobytes(), matrix.shape[1]
 
 
 def packed_rows(vectors: DataFrame, rows: int, scale: int) -> DataFrame:
-    """(ids, matrix, width): runs of at most ``rows`` neighbouring rows of a partition, no shuffle."""
+    """(ids, matrix, width): runs of at most ``rows`` neighbouring rows of a partition, no shuffle. Wide rows
+    make shorter runs."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts = [batch.iloc[i:i + rows] for i in range(0, len(batch), rows)]
-            yield pd.DataFrame([_packed(c, scale) for c in cuts], columns=["ids", "matrix", "width"])
+            ids, matrix = batch.column("vec_id").to_numpy(), _matrix(batch.column("vector"), scale)
+            step = max(1, min(rows, GROUP_BYTES // (8 * max(1, matrix.shape[1]))))
+            for i in range(0, len(ids), step):
+                packed = _packed(ids[i:i + step], matrix[i:i + step])
+                yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(packed, (pa.binary(), pa.binary(), pa.int32()), strict=True)],
+                                                 ["ids", "matrix", "width"])
 
-    return vectors.mapInPandas(pack, "ids binary, matrix binary, width int")
+    return vectors.mapInArrow(pack, "ids binary, matrix binary, width int")
 
 
 def _unpacked(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     keys = np.frombuffer(ids, dtype=np.int64)
-    kind = "<f4" if len(matrix) == 4 * len(keys) * width else "<f8"
-    return keys, np.frombuffer(matrix, dtype=kind).astype(np.float64).reshape(len(keys), width)
+    kind = KINDS[len(matrix) // (len(keys) * width)] if width else "<f4"
+    return keys, np.frombuffer(matrix, dtype=kind).reshape(len(keys), width)
 
 
 class Best:
     """The k best of each query of a chunk so far."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.query = np.zeros(0, dtype=np.int64)
-        self.found = np.zeros(0, dtype=np.int64)
-        self.score = np.zeros(0)
+        self.ids, self.vectors, self.k = ids, vectors.astype(np.float64), k
+        self.single = self.vectors.astype(np.float32)
+        self.most = np.abs(self.vectors).max(initial=0)
+        self.found = np.zeros((len(ids), k), dtype=np.int64)
+        self.score = np.zeros((len(ids), k), dtype=np.int64)
+        self.size = np.zeros(len(ids), dtype=np.int64)
         self.kth = np.full(len(ids), -np.inf)
 
+    def held(self, query: np.ndarray) -> np.ndarray:
+        """Which places of these queries are taken."""
+        return np.arange(self.k) < self.size[query, None]
+
     def add(self, query: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
-        query, found, score = (np.concatenate(x) for x in ((self.query, query), (self.found, found), (self.score, score)))
+        if not len(query):
+            return
+        who = np.unique(query)
+        held = self.held(who)
+        query = np.concatenate((np.repeat(who, self.size[who]), query))
+        found, score = np.concatenate((self.found[who][held], found)), np.concatenate((self.score[who][held], score))
         order = np.lexsort((found, -score, query))
         query, found, score = query[order], found[order], score[order]
-        starts = np.flatnonzero(np.append(True, query[1:] != query[:-1])) if len(query) else np.zeros(0, dtype=np.int64)
-        place = np.arange(len(query)) - np.repeat(starts, np.diff(np.append(starts, len(query))))
+        starts = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+        counts = np.diff(np.append(starts, len(query)))
+        place = np.arange(len(query)) - np.repeat(starts, counts)
         keep = place < self.k
-        last = place == self.k - 1
-        self.kth[query[last]] = score[last]
-        self.query, self.found, self.score = query[keep], found[keep], score[keep]
+        at = query[keep], place[keep]
+        self.found[at], self.score[at] = found[keep], score[keep]
+        self.size[who] = np.minimum(counts, self.k)
+        full = who[counts >= self.k]
+        self.kth[full] = self.score[full, self.k - 1]
 
     def search(self, ids: np.ndarray, rows: np.ndarray) -> None:
         width = min(self.vectors.shape[1], rows.shape[1])
-        queries, rows = self.vectors[:, :width], rows[:, :width]
-        if np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * max(width, 1) >= EXACT:
-            self.search_long(ids, queries, rows)
+        most = self.most * max(float(rows.max(initial=0)), -float(rows.min(initial=0))) * max(width, 1)
+        if most >= EXACT:
+            self.search_long(ids, self.vectors[:, :width], rows[:, :width])
             return
+        kind = np.float32 if most < EXACT_SINGLE else np.float64
+        queries = (self.single if kind is np.float32 else self.vectors)[:, :width]
+        rows = rows[:, :width].astype(kind)
         starts = np.arange(0, len(ids), BLOCK)
         high, low = np.maximum.reduceat(rows, starts, axis=0), np.minimum.reduceat(rows, starts, axis=0)
         bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
@@ -94,13 +126,22 @@ class Best:
             live = bounds[everyone, block] >= self.kth
             if not live.any():
                 break
-            for b in np.unique(block[live]):
-                asking = np.flatnonzero(live & (block == b))
-                mine = ids[starts[b]:starts[b] + BLOCK]
-                scores = queries[asking] @ rows[starts[b]:starts[b] + BLOCK].T
-                good = (scores >= self.kth[asking, None]) & (mine[None, :] != self.ids[asking, None])
-                q, d = np.nonzero(good)
-                self.add(asking[q], mine[d], scores[q, d])
+            block = np.where(live, block, -1)
+            passed = [self.passing(np.flatnonzero(block == b), queries, ids[starts[b]:starts[b] + BLOCK], rows[starts[b]:starts[b] + BLOCK])
+                      for b in np.unique(block[live])]
+            self.add(*(np.concatenate(x) for x in zip(*passed, strict=True)))
+
+    def passing(self, asking: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, score) of the rows that may be among the k best of a query."""
+        scores = queries[asking] @ rows.T
+        least = self.kth[asking].astype(scores.dtype)
+        if len(ids) > self.k and np.isneginf(least).any():  # the block's own k-th score, as nothing else is known
+            others = np.where(ids == self.ids[asking, None], -np.inf, scores)
+            least = np.maximum(least, np.partition(others, -self.k, axis=1)[:, -self.k])
+        q, d = np.divmod(np.flatnonzero(scores >= least[:, None]), len(ids))
+        other = ids[d] != self.ids[asking[q]]
+        q, d = q[other], d[other]
+        return asking[q], ids[d], scores[q, d].astype(np.int64)
 
     def search_long(self, ids: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> None:
         """Whole numbers too large for doubles: exact, without pruning."""
@@ -110,10 +151,11 @@ class Best:
             vector = [int(x) for x in queries[at]]
             scored = ((max(-top, min(top, sum(map(int.__mul__, vector, row)))), -int(i)) for i, row in zip(ids, numbers, strict=True) if i != own)
             best = heapq.nlargest(self.k, scored)
-            self.add(np.full(len(best), at), np.array([-i for _, i in best], dtype=np.int64), np.array([s for s, _ in best], dtype=object))
+            self.add(np.full(len(best), at), np.array([-i for _, i in best], dtype=np.int64), np.array([s for s, _ in best], dtype=np.int64))
 
     def rows(self) -> pd.DataFrame:
-        return pd.DataFrame({"query_id": self.ids[self.query], "vec_id": self.found, "score": [int(s) for s in self.score]}).astype("int64")
+        held = self.held(np.arange(len(self.ids)))
+        return pd.DataFrame({"query_id": np.repeat(self.ids, self.size), "vec_id": self.found[held], "score": self.score[held]})
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = K, scale: int = 64) -> DataFrame:
@@ -125,20 +167,23 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = K, scale: int = 64) -
     zeros, scores are held to the range of long. A repeated query id is asked once, with the smallest
     of its vectors; repeated rows of ``vectors`` are candidates each.
 
-    Chunks of queries are sent to every slot, groups of blocks to one; a slot's groups meet each
-    chunk in turn, and the chunk's k-th scores are kept over them. There are as many slots as twice
-    the session's shuffle partitions, so queries are copied by the size of the cluster.
+    Both are packed, written and dealt into pieces, and each task meets one piece of the queries with
+    one of the groups, which it reads where they lie: nothing is copied, broadcast or collected. There
+    are about as many tasks as the session has shuffle partitions, more if their groups get too large.
+    Inside a task a chunk of queries meets the groups in turn and its k-th scores are kept over them.
     """
-    slots = 2 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     good = lambda df: df.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    double = F.transform("vector", lambda x: x.cast("double")).alias("vector")
-    groups = packed_rows(good(vectors).select("vec_id", double), GROUP, scale)
-    groups = written(groups.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")), "blocks")
-    asked = good(queries).select("vec_id", double).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    chunks = written(packed_rows(asked, CHUNK, scale), "queries")
-    chunks = chunks.select("ids", "matrix", "width", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    met = (chunks.select("slot", F.col("ids").alias("q_ids"), F.col("matrix").alias("q"), F.col("width").alias("q_width"))
-           .join(groups, "slot").select("q_ids", "q", "q_width", "ids", "matrix", "width"))
+    double = F.col("vector").cast("array<double>").alias("vector")
+    groups = written(packed_rows(good(vectors).select(F.col("vec_id").cast("long"), double), GROUP, scale), "blocks")
+    asked = good(queries).select(F.col("vec_id").cast("long"), double).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asked = written(asked, "asked")
+    chunks = written(packed_rows(asked.repartition(-(-asked.count() // CHUNK) or 1), CHUNK, scale), "queries")
+    n_groups, size = groups.agg(F.count("*"), F.coalesce(F.sum(F.length("ids") + F.length("matrix")), F.lit(0))).first()
+    across = max(1, min(chunks.count(), tasks // 4))
+    down = max(1, min(n_groups, max(-(-tasks // across), -(-size // PIECE_BYTES))))
+    asking = chunks.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q"), F.col("width").alias("q_width")).repartition(across)
+    met = asking.hint("shuffle_replicate_nl").crossJoin(groups.repartition(down))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best, held = None, None
